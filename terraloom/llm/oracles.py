@@ -16,7 +16,7 @@ def quality_rules_sql() -> str:
     stops = ", ".join(map(_quoted, quality_rules.STOP_WORDS))
     stats = {
         "mean_word_chars": ("word_chars", "n_words"), "symbols_per_word": ("n_symbols", "n_words"), "stop_word_ratio": ("n_stop_words", "n_words"),
-        "dup_line_ratio": ("n_dup_lines", "n_lines"), "upper_ratio": ("n_upper", "word_chars"),
+        "dup_line_ratio": ("n_dup_lines", "n_lines"),
     }
     per = {k: f"(CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} ELSE 0 END)" for k, (a, b) in stats.items()}
     ok = " AND ".join([f"{per[r.name]} >= {r.low}" for r in quality_rules.RULES if r.low is not None] + [f"{per[r.name]} <= {r.high}" for r in quality_rules.RULES if r.high is not None])
@@ -32,7 +32,7 @@ lc AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_
 s AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
-        length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS n_upper, coalesce(n_stop_words, 0) AS n_stop_words
+        coalesce(n_stop_words, 0) AS n_stop_words
       FROM d LEFT JOIN wc USING (doc_id) LEFT JOIN lc USING (doc_id) LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT *, NOT base_failed AND {ok} AS kept FROM b"""

@@ -5,6 +5,7 @@ Every statistic is a built-in expression over the whole text; no user function,
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,54 +35,65 @@ class Rule:
     high: float | None
 
 
+COUNTS = ("n_words", "n_lines", "n_repeat_words", "n_dup_lines", "word_chars", "n_symbols", "n_stop_words")
+
 #: The threshold table. Ratios are 0 for texts without words or lines.
 RULES = (
     Rule("mean_word_chars", 2.0, 14.0),
     Rule("symbols_per_word", None, 0.3),
     Rule("stop_word_ratio", 0.02, None),
     Rule("dup_line_ratio", None, 0.5),
-    Rule("upper_ratio", None, 0.6),
 )
 
 
-def _repeated(words: Column) -> Column:
+def _repeated(w: Column) -> Column:
     """Words covered by a 3-word window that occurs twice or more, counting the first occurrence.
 
     Windows are compared by 64-bit hash within one text. The sort only runs for texts that repeat a window.
     """
+    windows = F.slice(F.arrays_zip(w, F.slice(w, 2, F.size(w)), F.slice(w, 3, F.size(w))), 1, F.size(w) - 2)
+    grams = F.transform(windows, lambda x: F.xxhash64(x))
+
+    def marked(s: Column) -> Column:
+        again = F.filter(s, lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]))
+        starts = F.transform(again, lambda x: x["i"])
+        return let(starts, lambda p: F.size(F.array_distinct(F.concat(p, F.transform(p, lambda v: v + 1), F.transform(p, lambda v: v + 2)))))
+
+    def count(g: Column) -> Column:
+        placed = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(let(placed, marked))
 
-    def covered(w: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+    return F.when(F.size(w) < 4, F.lit(0)).otherwise(let(grams, count)).cast("long")
 
-        def marked(s: Column) -> Column:
-            again = F.filter(s, lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]))
-            return F.size(F.array_distinct(F.flatten(F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
 
-        def count(g: Column) -> Column:
-            placed = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-            return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(let(placed, marked))
+def _trie(words: list[str]) -> str:
+    """A regular expression for exactly these words that shares their beginnings."""
+    ends, by = "" in words, {}
+    for w in words:
+        if w:
+            by.setdefault(w[0], []).append(w[1:])
+    if not by:
+        return ""
+    body = "|".join(re.escape(c) + _trie(rest) for c, rest in sorted(by.items()))
+    return f"(?:{body})" + "?" * ends
 
-        return F.when(F.size(w) < 4, F.lit(0)).otherwise(let(grams, count))
 
-    return let(words, covered).cast("long")
+STOP_PATTERN = r"(?<![^\x20\x09-\x0D])" + _trie(STOP_WORDS) + r"(?![^\x20\x09-\x0D])"
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Counts of the whole text, each as a long column; all 0 for a null text."""
+def statistics(text: Column) -> Column:
+    """A struct of counts over the whole text, each a long; all 0 for a null text."""
     t = F.coalesce(text, F.lit(""))
-    words = words_of(text)
+    of_words = let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeated(w).alias("n_repeat_words")))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(WS)) != "")
-    bare = F.translate(t, WS, "")
-    return {
-        "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(bare).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": _repeated(words),
-        "n_lines": F.size(lines).cast("long"),
-        "n_upper": (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("long"),
-        "n_stop_words": F.size(F.filter(F.split(F.lower(F.btrim(t, F.lit(WS))), r"[\x20\x09-\x0D]+"), lambda w: w.isin(STOP_WORDS))).cast("long"),
-    }
+    of_lines = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
+    return F.struct(
+        of_words.alias("w"),
+        of_lines.alias("l"),
+        F.length(F.translate(t, WS, "")).cast("long").alias("word_chars"),
+        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(F.lower(t), F.lit(STOP_PATTERN)).cast("long").alias("n_stop_words"),
+    )
 
 
 def ratios(c=F.col) -> dict[str, Column]:
@@ -95,7 +107,6 @@ def ratios(c=F.col) -> dict[str, Column]:
         "symbols_per_word": per("n_symbols", "n_words"),
         "stop_word_ratio": per("n_stop_words", "n_words"),
         "dup_line_ratio": per("n_dup_lines", "n_lines"),
-        "upper_ratio": per("n_upper", "word_chars"),
     }
 
 
@@ -117,7 +128,9 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ..
     alike, row by row; an empty table gives an empty result. Columns of ``docs`` that bear a result's name
     are replaced by the result.
     """
-    stats = statistics(F.col(text_col))
-    out = docs.select(*[c for c in docs.columns if c == text_col or c not in {*stats, "base_failed", "kept"}], *[v.alias(k) for k, v in stats.items() if k != text_col])
+    keep = [c for c in docs.columns if c == text_col or c not in {*COUNTS, "base_failed", "kept"}]
+    # A generator of one row: its statistics are made once, whatever is later asked of them.
+    out = docs.select(*keep, F.inline(F.array(statistics(F.col(text_col)))).alias("__w", "__l", *COUNTS[4:]))
+    out = out.select(*keep, F.col("__w.n_words"), F.col("__l.n_lines"), F.col("__w.n_repeat_words"), F.col("__l.n_dup_lines"), *COUNTS[4:])
     base = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return out.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & verdict(rules))
