@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space between words and around lines: blank and the five controls 0x09 to 0x0D.
 WS = " \t\n\x0b\x0c\r"
@@ -93,3 +94,8 @@ def ship(spark: SparkSession) -> None:
 def small(df: DataFrame, rows: int, most: int) -> DataFrame:
     """Mark ``df`` for broadcast only if its counted rows are at most ``most``; beyond, Spark shuffles."""
     return F.broadcast(df) if rows <= most else df
+
+
+def widened(schema: T.StructType, ddl: str) -> T.StructType:
+    """The schema with the fields of ``ddl`` behind its own."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
