@@ -242,14 +242,14 @@ def index_evi(spark, d):
     return rows.select("l_orderkey", "l_linenumber", expressions.index_band(expressions.EVI, {c: F.col(c) for c in ("nir", "red", "blue")}).alias("evi"))
 
 
-@query("""WITH x AS (SELECT o_orderkey, 'S2' || CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'b' END || '_MSI_L2A_' || strftime(o_orderdate, '%Y%m%d') || 'T101112_N0' || lpad((o_custkey % 500)::VARCHAR, 3, '0') || '_R037_T' ||
+@query("""WITH x AS (SELECT o_orderkey, 'S2' || CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'b' END || '_MSIL2A_' || strftime(o_orderdate, '%Y%m%d') || 'T101112_N0' || lpad((o_custkey % 500)::VARCHAR, 3, '0') || '_R037_T' ||
   CASE WHEN o_orderkey % 5 = 0 THEN '22K' ELSE '22KBA' END || '_' || strftime(o_orderdate, '%Y%m%d') || 'T232323' AS id FROM orders)
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN upper(substr(id, 1, 3)) END AS mission, CASE WHEN o_orderkey % 5 <> 0 THEN 'L2A' END AS level, CASE WHEN o_orderkey % 5 <> 0 THEN '22KBA' END AS tile,
-  CASE WHEN o_orderkey % 5 <> 0 THEN substr(id, 30, 2)::INT END AS major, CASE WHEN o_orderkey % 5 <> 0 THEN substr(id, 32, 2)::INT END AS minor FROM x""")
+  CASE WHEN o_orderkey % 5 <> 0 THEN substr(id, 29, 2)::INT END AS major, CASE WHEN o_orderkey % 5 <> 0 THEN substr(id, 31, 2)::INT END AS minor FROM x""")
 def sentinel_id_parse(spark, d):
     day = F.date_format("o_orderdate", "yyyyMMdd")
     sat, tile = F.when(F.col("o_orderkey") % 2 == 0, "A").otherwise("b"), F.when(F.col("o_orderkey") % 5 == 0, "22K").otherwise("22KBA")
-    name = F.concat(F.lit("S2"), sat, F.lit("_MSI_L2A_"), day, F.lit("T101112_N0"), F.lpad((F.col("o_custkey") % 500).cast("string"), 3, "0"), F.lit("_R037_T"), tile, F.lit("_"), day, F.lit("T232323"))
+    name = F.concat(F.lit("S2"), sat, F.lit("_MSIL2A_"), day, F.lit("T101112_N0"), F.lpad((F.col("o_custkey") % 500).cast("string"), 3, "0"), F.lit("_R037_T"), tile, F.lit("_"), day, F.lit("T232323"))
     parts = identifiers.parse_product(name)
     major, minor = identifiers.baseline(parts["baseline"])
     return table(spark, d, "orders").select("o_orderkey", parts["mission"].alias("mission"), parts["level"].alias("level"), parts["tile"].alias("tile"), major.alias("major"), minor.alias("minor"))
@@ -526,8 +526,8 @@ def inconsistent_bands(spark, d):
     return mosaic.inconsistent_bands(rows, ["l_orderkey"], [0, 1, 2])
 
 
-@query("""WITH n AS (SELECT o_custkey AS k, max(o_orderdate) AS at FROM orders GROUP BY 1), c AS (SELECT c_custkey AS k, TIMESTAMP '1998-01-01' AS at FROM customer)
-SELECT k, arg_max(src, struct_pack(a := at, b := p)) AS src FROM (SELECT k, at, 'new' AS src, 1 AS p FROM n UNION ALL SELECT k, at, 'old', 0 FROM c) GROUP BY k""")
+@query("""WITH n AS (SELECT o_custkey AS k, max(o_orderdate) AS w FROM orders GROUP BY 1), c AS (SELECT c_custkey AS k, TIMESTAMP '1998-01-01' AS w FROM customer)
+SELECT k, arg_max(src, struct_pack(a := w, b := p)) AS src FROM (SELECT k, w, 'new' AS src, 1 AS p FROM n UNION ALL SELECT k, w, 'old', 0 FROM c) GROUP BY k""")
 def upsert_items(spark, d):
     news = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max(F.col("o_orderdate").cast("timestamp")).alias("at")).withColumn("src", F.lit("new"))
     now = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.lit("1998-01-01").cast("timestamp").alias("at"), F.lit("old").alias("src"))
