@@ -6,8 +6,10 @@ a register with their probability Jaccard. A process ends early, once its next a
 ones. Registers are banded; texts that share a band are candidates and are verified exactly.
 
 Texts with equal shingles are folded into one node first. In a bucket, a pivot is compared with all members and classes are
-joined, round by round, while that leaves many pairs of different classes; then every such pair is compared. So a bucket of
-copies costs a few comparisons for each member, and no candidate pair between different classes is left out.
+joined, round by round, while that leaves many pairs of different classes; then every such pair is compared. Texts of which
+less than the threshold's share of shingles stands in any other candidate can't reach it with any text, so they are set aside
+first, and the text that shares most is the next pivot. So a bucket of copies costs a few comparisons for each member, and no
+candidate pair between different classes is left out that could reach the threshold.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, ship, small
@@ -27,7 +29,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: Registers are BANDS x ROWS. A pair at 0.8 shares a band with probability 1 - (1 - 0.8^5)^25 = 0.99995.
 BANDS, ROWS = 25, 5
 #: Rounds with pivots at most, and the pairs for each member of a bucket that are compared without a further round.
-ROUNDS, PAIRS_PER_MEMBER = 6, 4
+ROUNDS, PAIRS_PER_MEMBER = 5, 1
 #: Candidate ids are broadcast up to so many rows of 8 bytes; beyond, Spark shuffles.
 BROADCAST_ROWS = 500_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -123,6 +125,45 @@ def _verified(threshold: float):
     return run
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, grams) to (node, gram, part, size, plain): the shingles and their shares of the text's weight."""
+    for b in batches:
+        for node, g in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            gram, n = np.unique(np.frombuffer(g.as_buffer(), np.int32), return_counts=True)
+            size = int(n.sum())
+            columns = [np.full(len(gram), node), gram, n / size, np.full(len(gram), size), np.full(len(gram), size == len(gram))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "gram", "part", "size", "plain"])
+
+
+def shared_shares(store: Scratch, sets: DataFrame) -> DataFrame:
+    """(node, share, size, plain): the share of a text's weight on shingles that stand in another text of ``sets`` too, its
+    number of shingles and whether none repeats."""
+    ex = sets.select("node", "grams").mapInArrow(_exploded, "node bigint, gram int, part double, size bigint, plain boolean")
+    twice = ex.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("gram")
+    return store.save(ex.join(twice, "gram").groupBy("node").agg(F.sum("part").alias("share"), F.max("size").alias("size"), F.max("plain").alias("plain")))
+
+
+def reachable(x: str, y: str, threshold: float) -> Column:
+    """Whether two texts, structs of ``shared_shares``, can reach the threshold.
+
+    Of plain texts at most the lesser number of shared shingles is common, and that fixes the greatest Jaccard. In general,
+    with shares s and own shares u = 1 - s, the sum over common i of 1 / (1 / x_i + u_y / y_i) bounds the probability Jaccard;
+    its terms are concave and homogeneous, so it is at most s_x s_y / (s_y + u_y s_x), and likewise with x and y exchanged.
+    """
+    c = lambda t, n: F.col(f"{t}.{n}")
+    sx, sy = c(x, "share"), c(y, "share")
+    most = F.least(sx * c(x, "size"), sy * c(y, "size"))
+    plain = most / (c(x, "size") + c(y, "size") - most)
+    weighted = sx * sy / F.greatest(sy + (1 - sy) * sx, sx + (1 - sx) * sy)
+    return F.when(c(x, "plain") & c(y, "plain"), plain).otherwise(weighted) >= threshold - 1e-6
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several classes."""
+    buckets = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
+    return members.join(buckets, "band")
+
+
 def _links(store: Scratch, pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The distinct pairs (a, b) whose texts reach the threshold."""
     full = pairs.distinct().join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
@@ -195,35 +236,44 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     own = judged.select("id", "key", "grams").join(small(wanted, wanted.count(), BROADCAST_ROWS), F.col("id") == F.col("node"), "left_semi")
     sets = store.save(own.withColumnRenamed("id", "node").join(nodes, ["key", "node"]).select("node", "grams").dropDuplicates(["node"]))
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    found, held = _links(store, pairs, sets, threshold), None
+    found, held, past = _links(store, pairs, sets, threshold), None, None
     for k in range(1, ROUNDS + 1):
         news = not found.isEmpty()
         if news:
             held = _merged(store, held, found)
-        placed = members.select("band", "node")
-        placed = placed.join(held, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")) if held is not None else placed.withColumn("root", F.col("node"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-        rest = store.save(placed.join(mixed, "band"))
+        placed = members.drop("root")
+        placed = placed.join(held, "node", "left").withColumn("root", F.coalesce("root", "node")) if held is not None else placed.withColumn("root", F.col("node"))
+        rest = store.save(_mixed(placed))
         store.drop(members)
         members = rest
+        if k == 1:
+            open_ = members.select("node").distinct()
+            able = shared_shares(store, sets.join(open_, "node")).where(F.col("share") >= threshold - 1e-9)
+            rest = store.save(_mixed(members.drop("pivot").join(able, "node")))
+            store.drop(members)
+            members = rest
         sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-        per = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.max_by("root", F.struct("n", "root")).alias("most"))
-        per = store.save(per)
+        per = store.save(sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.max_by("root", F.struct("n", "root")).alias("most")))
         total, left = per.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
         if not total:
             break
+        about = F.struct("share", "size", "plain")
         if left <= PAIRS_PER_MEMBER * total or not news or k == ROUNDS:
             # The last round: all pairs of different classes, those outside a bucket's largest class against the whole bucket.
             full = members.join(per.select("band", "most"), "band")
-            x = full.where("root <> most").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-            y = full.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), "most")
-            across = x.join(y, "band").where("ra <> rb AND (rb = most OR a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            found = _links(store, across, sets, threshold)
+            x = full.where("root <> most").select("band", F.col("node").alias("a"), F.col("root").alias("ra"), about.alias("x"))
+            y = full.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), "most", about.alias("y"))
+            across = x.join(y, "band").where(F.expr("ra <> rb AND (rb = most OR a < b)") & reachable("x", "y", threshold))
+            found = _links(store, across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, threshold)
             held = held if found.isEmpty() else _merged(store, held, found)
             break
-        pick = members.groupBy("band").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("p"))
-        pairs = members.join(pick, "band").where("root <> p.root").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
-        found = _links(store, pairs, sets, threshold)
+        fresh = members if past is None else members.join(past, ["band", "node"], "left_anti")
+        best = F.struct("share", F.xxhash64("node"))
+        pick = store.save(fresh.groupBy("band").agg(F.max_by(F.struct("node", "root", "share", "size", "plain"), best).alias("p")))
+        used = pick.select("band", F.col("p.node").alias("node"))
+        past = used if past is None else past.union(used)
+        pairs = members.select("band", "node", "root", about.alias("m")).join(pick, "band").where((F.col("root") != F.col("p.root")) & reachable("m", "p", threshold))
+        found = _links(store, pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")), sets, threshold)
     store.drop(sets, members)
     by_key = nodes if held is None else nodes.join(held, "node", "left")
     by_key = by_key.select("key", (F.col("node") if held is None else F.coalesce("root", "node")).alias("root"))
