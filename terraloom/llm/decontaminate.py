@@ -47,6 +47,7 @@ class Index:
     start: np.ndarray
     item: np.ndarray
     impact: np.ndarray
+    block: np.ndarray
     bound: np.ndarray
     grams: list[np.ndarray]
     parts: list[tuple[Counter, Counter]]
@@ -90,7 +91,7 @@ def build_index(items: list[tuple], df: dict[int, int], n_items: int, mean_words
     item, impact = np.array([p[1] for p in posts], np.int64), np.array([p[2] for p in posts], np.float64)
     bound = np.zeros((len(terms), max(1, -(-len(items) // POSTINGS))), np.float32)
     np.maximum.at(bound, (term, item // POSTINGS), (impact * (1 + 1e-6)).astype(np.float32))
-    return Index(ids, terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, impact, bound, grams, parts, np.array(full), longest)
+    return Index(ids, terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, impact, item // POSTINGS, bound, grams, parts, np.array(full), longest)
 
 
 def retrieve(ix: Index, terms: np.ndarray) -> Iterator[tuple[int, float]]:
@@ -98,13 +99,13 @@ def retrieve(ix: Index, terms: np.ndarray) -> Iterator[tuple[int, float]]:
     open_ = np.flatnonzero(ix.bound[terms].sum(0) >= 1 - 1e-4)
     if not len(open_):
         return
-    scores = np.zeros(len(ix.ids))
     inside = np.zeros(ix.bound.shape[1], bool)
     inside[open_] = True
-    for t in terms.tolist():
-        lo, hi = ix.start[t], ix.start[t + 1]
-        on = inside[ix.item[lo:hi] // POSTINGS]
-        scores[ix.item[lo:hi][on]] += ix.impact[lo:hi][on]
+    # The postings of all terms in one gather; those of closed blocks are left out.
+    first, sizes = ix.start[terms], ix.start[terms + 1] - ix.start[terms]
+    at = np.arange(int(sizes.sum())) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+    at = at[inside[ix.block[at]]]
+    scores = np.bincount(ix.item[at], ix.impact[at], len(ix.ids))
     for k in np.flatnonzero(scores >= 1 - 1e-9).tolist():
         yield k, float(scores[k])
 
@@ -184,7 +185,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ix = sent.value
-            hashes, numbers = Cache(word_hash), Cache(lambda c: ix.terms.get(word_hash(c), -1 if fold(c) else -2))
+            hashes, numbers = Cache(word_hash), Cache(lambda c: ix.terms.get(h, -1) if (h := word_hash(c)) else -2)
             for b in batches:
                 got = []
                 for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
