@@ -19,13 +19,11 @@ from pyspark.sql import functions as F
 
 from .bpe import LETTERS, NEVER, Merges, sliced
 from .common import ship, widened
-from .words import Cache
+from .words import LONGEST, Cache
 
 #: The word pattern of byte-level vocabularies that leave it to the library.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT_FORMS = ("'re", "'ve", "'ll")
-#: Words of more bytes are counted by merging, not by prefixes, where only the total is asked for.
-LONG_WORD = 400
 #: States of words' beginnings are kept for lengths that are multiples of this.
 STRIDE = 4
 
@@ -46,23 +44,21 @@ class PrefixCounter:
         for (a, b), k in self.ranks.items():
             self.made.setdefault(a + b, (k, a, b))
         vocab = model["vocab"]
-        self.merges, self.letter = Merges(vocab, model["merges"]), [vocab[c] for c in LETTERS]
-        self.made = {t: x for t, x in self.made.items() if t in vocab and (x[0] < 0 or self.merges.run([vocab[c] for c in t]) == [vocab[t]])}
+        merges = Merges(vocab, model["merges"])
+        self.made = {t: x for t, x in self.made.items() if t in vocab and (x[0] < 0 or merges.run([vocab[c] for c in t]) == [vocab[t]])}
+        self.token = {t: t for t in self.made}
         self.tails = {t[k:] for t in self.made for k in range(len(t))}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.find_special = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.word = regex.compile(PATTERN)
         self.allowed = lru_cache(300_000)(self._allowed)
         self.states = Cache(self._state, 100_000)
-        self.totals = Cache(lambda w: self._state(self.letters(w))[1][-1] if len(w) <= LONG_WORD else self.merged(w))
+        self.totals = Cache(lambda w: self._state(self.letters(w))[1][-1])
         self.prefixes = Cache(self.word_counts, 50_000)
 
     def letters(self, word: str) -> str:
         return "".join([LETTERS[b] for b in word.encode("utf-8", "replace")])
 
-    def merged(self, word: str) -> int:
-        return len(self.merges.run([self.letter[b] for b in word.encode("utf-8", "replace")]))
-
     def _allowed(self, a: str, b: str) -> bool:
         """Whether tokens a and b may stand side by side: no merge across their border comes before those that make them.
 
@@ -85,19 +81,22 @@ class PrefixCounter:
                 rb, b1, _ = made[b]
 
     def _state(self, s: str) -> tuple[list[str], list[int]]:
-        """(last token, number of tokens) of each prefix of a word's letters; the states of its beginnings are kept."""
-        known = (len(s) - 1) // STRIDE * STRIDE
+        """(last token, number of tokens) of each prefix of a word's letters; the states of its beginnings are kept.
+
+        Only beginnings that the cache keeps are asked for, so the calls nest at most LONGEST / STRIDE deep, however long the word is.
+        """
+        known = min(len(s) - 1, LONGEST) // STRIDE * STRIDE
         if known > 0:
             last, count = self.states[s[:known]]
             last, count = last[:], count[:]
         else:
             last, count, known = [""], [0], 0
-        made, tails, allowed = self.made, self.tails, self.allowed
+        token, tails, allowed = self.token, self.tails, self.allowed
         for end in range(known + 1, len(s) + 1):
             found, start = [], end - 1
             while start >= 0 and (t := s[start:end]) in tails:
-                if t in made:
-                    found.append((start, t))
+                if t in token:
+                    found.append((start, token[t]))
                 start -= 1
             for start, t in reversed(found):
                 if not start or allowed(last[start], t):

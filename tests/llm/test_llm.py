@@ -201,6 +201,17 @@ def test_long_fragments_are_the_library(libraries):
         assert prefix.total(t) == len(count.encode(t, add_special_tokens=False).ids)
 
 
+def test_prefix_counts_of_long_words_are_the_library(libraries):
+    _, _, lib, own = libraries
+    rng = random.Random(2)
+    letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(6000))
+    for t in (letters, "-" * 3000, " " * 3000 + "x", "a" * 4000, "é" * 2000, "x" + "=" * 5000, "\n " * 1600, letters[:65]):
+        got = own.counts(t)
+        at = sorted({0, 1, len(t), *(k for k in (63, 64, 65, 2048) if k <= len(t)), *(rng.randint(0, len(t)) for _ in range(40))})
+        assert [int(got[k]) for k in at] == [len(lib.encode(t[:k], add_special_tokens=False).ids) for k in at]
+        assert own.total(t) == got[-1] and len(got) == len(t) + 1
+
+
 def test_forced_cuts_change_nothing(libraries):
     _, own, _, _ = libraries
     word = "straße日本ab"
