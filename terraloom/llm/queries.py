@@ -40,7 +40,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    mined = url_filter.mine_rules(url_filter.labelled_pages(pages, table(spark, sf_dir, "labels")))
+    # The SQL of this query counts sets of at most MAX_TOKENS tokens.
+    mined = url_filter.mine_rules(url_filter.labelled_pages(pages, table(spark, sf_dir, "labels")), max_tokens=url_filter.MAX_TOKENS)
     return url_filter.filter_urls(pages, mined).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 

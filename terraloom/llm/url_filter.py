@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower
 
+#: MAX_TOKENS is what the registered query's SQL counts; the operator itself has no such limit.
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.8, 2
 BAD, GOOD = "!bad", "!good"
 
@@ -62,19 +63,22 @@ def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> tuple[Co
     return pick(lambda r: r.text), pick(lambda r: r.verdict)
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Token sets of at most ``max_tokens`` that imply the bad label: ``tokens``, ``confidence``, ``support``, ``anchor``.
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None) -> DataFrame:
+    """Token sets that imply the bad label: ``tokens``, ``confidence``, ``support``, ``anchor``.
 
-    ``labelled`` has ``url`` and ``bad`` (boolean); rows with a null in either are left out. A set with support s holds for
-    at least that share of the rows and a URL of k tokens has at most k + k(k-1)/2 sets, so there are at most
-    (k + k(k-1)/2) / s rules however large the table is. The anchor is the rule's rarest token (ties: the lesser).
+    All sets with enough support and confidence are rules, unless ``max_tokens`` bounds their size. ``labelled`` has ``url``
+    and ``bad`` (boolean); rows with a null in either are left out. A set with support s holds for at least that share of the
+    rows and a URL of k tokens has fewer than 2^k sets, so there are fewer than 2^k / s rules however large the table is (at
+    most (k + k(k-1)/2) / s for ``max_tokens`` of 2). The anchor is the rule's rarest token (ties: the lesser).
     """
     rows = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull())
     items = rows.select(F.concat(url_tokens(F.col("url")), F.array(F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD)))).alias("items"))
     if items.isEmpty():
         return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double, anchor string")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    found = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= max_tokens))
+    found = model.associationRules.where(F.element_at("consequent", 1) == BAD)
+    if max_tokens is not None:
+        found = found.where(F.size("antecedent") <= max_tokens)
     found = found.where(~F.array_contains("antecedent", GOOD)).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
     single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
     ranked = found.withColumn("token", F.explode("tokens")).join(F.broadcast(single), "token")

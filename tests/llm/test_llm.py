@@ -1,8 +1,10 @@
 """The training-data operators: brute force, round trips and edge cases on small tables."""
 
 import hashlib
+import math
 import random
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -331,6 +333,25 @@ def test_url_rules(spark):
     assert url_filter.mine_rules(empty).count() == 0
 
 
+def test_mined_rules_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(rng.sample("abcdefg", rng.randint(1, 6)), None) for _ in range(200)]
+    rows = [(t, {"a", "b", "c"} <= set(t) or {"d", "e", "f", "g"} <= set(t)) for t, _ in rows]
+    total, bad = Counter(), Counter()
+    for tokens, b in rows:
+        for n in range(1, len(tokens) + 1):
+            for x in combinations(sorted(tokens), n):
+                total[x] += 1
+                bad[x] += b
+    want = {x: bad[x] / total[x] for x in total if bad[x] >= math.ceil(0.01 * len(rows)) and bad[x] / total[x] >= 0.8}
+    urls = spark.createDataFrame([("http://" + "/".join(t), b) for t, b in rows], "url string, bad boolean")
+    mined = url_filter.mine_rules(urls, 0.01, 0.8).cache()
+    assert {tuple(r.tokens): round(r.confidence, 9) for r in mined.collect()} == {x: round(c, 9) for x, c in want.items()}
+    assert min(map(len, want)) == 3 and max(map(len, want)) > 4
+    got = url_filter.filter_urls(urls.withColumn("page_id", F.monotonically_increasing_id()), mined, ()).collect()
+    assert len(got) == len(rows) and all((r.verdict == "block") == any(set(x) <= set(r.url[7:].split("/")) for x in want) for r in got)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
