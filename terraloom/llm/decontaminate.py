@@ -24,6 +24,8 @@ from .common import ship
 from .words import Cache, fold, hashed_words, shingles, word_hash
 
 SHINGLE, THRESHOLD = 5, 0.8
+#: A copy with so many of the shingles needs no more; a question or answer of at least LONG words needs the lower share.
+SURE, LONG, LOWER = 0.9, 5, 0.5
 K1, B = 1.2, 0.75
 #: Items in a block of postings; items in an index, which bounds what is broadcast; words that passages advance at least.
 POSTINGS, ITEMS, STEP = 16, 1024, 64
@@ -110,6 +112,11 @@ def retrieve(ix: Index, terms: np.ndarray) -> Iterator[tuple[int, float]]:
         yield k, float(scores[k])
 
 
+def least_part(words: int, threshold: float) -> float:
+    """The share of a question or answer of so many words that a copy must hold: a cut at an item's end falls on one part alone."""
+    return min(LOWER, threshold) if words >= LONG else threshold
+
+
 def leaks_of(ix: Index, words: np.ndarray, numbers: np.ndarray, threshold: float) -> dict[int, tuple[float, float, float, float]]:
     """item -> (bm25 share, shingle share, question share, answer share), the best passage of a text for each item.
 
@@ -137,7 +144,7 @@ def leaks_of(ix: Index, words: np.ndarray, numbers: np.ndarray, threshold: float
                 continue
             bag = Counter(passage.tolist())
             q, a = (sum((c & bag).values()) / c.total() if c else 1.0 for c in ix.parts[k])
-            if min(q, a) >= threshold - 1e-9:
+            if share >= SURE - 1e-9 or all(x >= least_part(c.total(), threshold) - 1e-9 for x, c in zip((q, a), ix.parts[k], strict=True)):
                 out[k] = max(out.get(k, (0.0,) * 4), (s / ix.full[k], float(share), q, a))
     return out
 
@@ -170,8 +177,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """(id, item id, bm25, shingles, question, answer): the items that a text gives away, with the best passage's shares.
 
     A passage is a window of twice the longest item's words (at least 128), advancing by half, so that a copy lies in one
-    whole. It gives an item away if it holds at least ``threshold`` of the item's five-word shingles and of the words of its
-    question and of its answer; ``bm25`` is its share of the item's full score. Texts of any length are queried whole. Null and
+    whole. It gives an item away if it holds at least ``threshold`` of the item's five-word shingles and either SURE of them
+    or enough words of its question and of its answer: LOWER of a part of at least LONG words, ``threshold`` of a shorter one.
+    ``bm25`` is its share of the item's full score. Texts of any length are queried whole. Null and
     wordless texts and items match nothing; rows that repeat an id are judged by their own text; repeated item rows count once. No shuffle of texts: one pass over ``docs`` for every ITEMS items.
     """
     spark = docs.sparkSession

@@ -296,6 +296,21 @@ def test_leaks_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_edited_and_truncated_copies_leak(spark):
+    question, answer = [f"q{k}" for k in range(25)], [f"a{k}" for k in range(16)]
+    items = [(1, " ".join(question) + ". " + " ".join(answer)), (2, " ".join(f"r{k}" for k in range(60)) + ". yes indeed"), (3, " ".join(f"s{k}" for k in range(60)) + ". one two three four five six seven")]
+    prose = " ".join(f"p{k}" for k in range(50))
+    cut, edited = " ".join([*question, *answer[:-5]]), items[1][1].replace("indeed", "never")
+    bare = items[2][1].split(".")[0]
+    # An item that keeps its question and 4 words of 16, at too few of the shingles, and prose give nothing away.
+    few = " ".join([*question, *answer[:4]])
+    docs = [(k, f"{prose} {t} {prose}") for k, t in enumerate((cut, edited, bare, few, prose))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(frame(spark, docs), table).collect()}
+    assert set(got) == {(0, 1), (1, 2)}
+    assert got[0, 1].answer < 0.8 <= got[0, 1].shingles < 0.9 and got[1, 2].answer < 0.8 and got[1, 2].shingles >= 0.9
+
+
 def test_bounds_of_blocks_lose_nothing():
     items = [(k, f"alpha beta w{k} x{k} y{k} z{k} gamma delta") for k in range(70)]
     df = Counter(w for _, t in items for w in {decontaminate.word_hash(c) for c in t.split()})
