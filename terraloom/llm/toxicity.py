@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from .words import EDGES, mix
 
 #: Bits of the slots, lengths of the beginnings, factors of a pair's weight.
 BITS, PREFIXES, FACTORS = 17, (3, 4, 5, 6, 7), 6
-#: Words of at least so many letters count by their beginnings only; letters behind are not looked at.
+#: Words of at least so many letters are hashed whole by themselves, not letter by letter.
 WHOLE = 11
 #: Documented bound of the sample: at most this many labelled rows of each class are learnt from.
 SAMPLE_PER_CLASS = 3000
@@ -31,7 +32,8 @@ MIN_ROWS, USUAL_SHARE = 3, 0.1
 
 
 def _slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, slot) of each term: hashes grow letter by letter, for all words at once."""
+    """(word number, slot) of each term, beginnings and the whole word: hashes grow letter by letter, for all words at once."""
+    long = [k for k, w in enumerate(words) if len(w) >= WHOLE]
     letters = np.array(words, f"U{WHOLE}").view(np.uint32).reshape(len(words), WHOLE).astype(np.uint64)
     size = (letters != 0).sum(1)
     rows, slots, h = [], [], np.zeros(len(words), np.uint64)
@@ -43,6 +45,8 @@ def _slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if k < WHOLE:
             rows.append(np.flatnonzero(size == k))
             slots.append(mix(h[rows[-1]]) >> np.uint64(64 - BITS))
+    rows.append(np.array(long, np.int64))
+    slots.append(np.array([xxhash.xxh3_64_intdigest(words[k].encode("utf-8", "replace")) for k in long], np.uint64) >> np.uint64(64 - BITS))
     return np.concatenate(rows), np.concatenate(slots).astype(np.int64)
 
 
@@ -53,7 +57,7 @@ def features(texts: list[str | None], used: np.ndarray | None = None) -> tuple[n
     """
     found, owner = [], []
     for k, t in enumerate(texts):
-        got = [w[:WHOLE] for c in (t or "").lower().replace("\x00", " ").split() if (w := c.strip(EDGES))]
+        got = [w for c in (t or "").lower().replace("\x00", " ").split() if (w := c.strip(EDGES))]
         found += got
         owner.append(len(got))
     if not found:

@@ -263,6 +263,13 @@ def test_pairs_count_for_more_than_their_terms():
     assert [int(p >= 0.5) for p in m.scores(texts[:4])] == labels[:4]
 
 
+def test_long_words_count_whole():
+    slots = lambda t: set(toxicity.features([t])[1].tolist())
+    for a, b in (("donaudampfschiff", "donaudampfkessel"), ("x" * 11, "x" * 12), ("a" * 200 + "b", "a" * 200 + "c")):
+        assert len(slots(a)) == 6 and len(slots(a) & slots(b)) == 5
+    assert slots("shortish") != slots("shortist") and slots("(Donaudampfschiff!)") == slots("donaudampfschiff")
+
+
 def test_leaks_brute_force(spark):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(300)]
