@@ -226,15 +226,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed_rows = store.save(rows.mapInArrow(signed, "id bigint, key string, bands array<bigint>, grams binary"))
     judged = signed_rows.where("id IS NOT NULL AND key IS NOT NULL")
-    nodes = store.save(judged.groupBy("key").agg(F.min("id").alias("node")))
-    first = judged.select("id", "key", "bands").join(nodes, "key").where("id = node").select("node", F.explode("bands").alias("band"))
+    # A node is a text, not an id: several texts may have one id. ``least`` is the least id of the text.
+    nodes = store.save(judged.groupBy("key").agg(F.min("id").alias("least")).withColumn("node", F.xxhash64("key")))
+    first = judged.select("id", "key", "bands").join(nodes, "key").where("id = least").select("node", F.explode("bands").alias("band"))
     first = store.save(first)
     shared = first.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
     members = store.save(first.join(shared, "band").select("band", "node", "pivot"))
     store.drop(first)
-    wanted = store.save(members.select("node").distinct())
-    own = judged.select("id", "key", "grams").join(small(wanted, wanted.count(), BROADCAST_ROWS), F.col("id") == F.col("node"), "left_semi")
-    sets = store.save(own.withColumnRenamed("id", "node").join(nodes, ["key", "node"]).select("node", "grams").dropDuplicates(["node"]))
+    wanted = store.save(nodes.join(members.select("node").distinct(), "node").select("key", F.col("least").alias("id"), "node"))
+    own = judged.select("id", "key", "grams").join(small(wanted, wanted.count(), BROADCAST_ROWS), ["id", "key"])
+    sets = store.save(own.select("node", "grams").dropDuplicates(["node"]))
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     found, held, past = _links(store, pairs, sets, threshold), None, None
     for k in range(1, ROUNDS + 1):
@@ -275,10 +276,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         pairs = members.select("band", "node", "root", about.alias("m")).join(pick, "band").where((F.col("root") != F.col("p.root")) & reachable("m", "p", threshold))
         found = _links(store, pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")), sets, threshold)
     store.drop(sets, members)
-    by_key = nodes if held is None else nodes.join(held, "node", "left")
-    by_key = by_key.select("key", (F.col("node") if held is None else F.coalesce("root", "node")).alias("root"))
-    out = signed_rows.select("id", "key").join(by_key, "key", "left")
-    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("root", "id")).alias("class_id"))
+    by_key = nodes.withColumn("class", F.col("least"))
+    if held is not None:
+        lowest = store.save(nodes.join(held, "node").groupBy("root").agg(F.min("least").alias("lowest")))
+        by_key = nodes.join(held, "node", "left").join(small(lowest, lowest.count(), BROADCAST_ROWS), "root", "left").withColumn("class", F.coalesce("lowest", "least"))
+    out = signed_rows.select("id", "key").join(by_key.select("key", "class"), "key", "left")
+    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("class", "id")).alias("class_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -153,6 +153,17 @@ def test_near_dedup_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({find(k) for k in range(len(texts))})
 
 
+def test_near_dedup_judges_rows_of_one_id_by_their_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = lambda t: t + " more"
+    # Ids 5 and 2 stand for two texts each; a, b and c have nothing in common.
+    rows = [(5, a), (5, b), (7, near(a)), (8, near(b)), (2, c), (2, near(near(a))), (9, near(c))]
+    got = sorted(tuple(r) for r in near_dedup.classes(frame(spark, rows)).collect())
+    assert got == [(2, 2), (2, 2), (5, 2), (5, 5), (7, 2), (8, 5), (9, 2)]
+    got = sorted(tuple(r) for r in near_dedup.classes(frame(spark, [(5, a), (5, b), (3, near(a)), (8, near(b))])).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (8, 5)]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 12), min_size=1, max_size=25), st.lists(st.integers(0, 12), min_size=1, max_size=25))
 def test_probability_jaccard(a, b):
