@@ -16,12 +16,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, widened
+from .common import ship, sliced, widened
 from .words import Cache
 
 
@@ -185,19 +184,6 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decoded: bool = F
     return out.select(*[c for c in out.columns if c not in new], "ids", F.size("ids").cast("long").alias("n_tokens"), *["decoded"] * decoded)
 
 
-def sliced(batch: pa.RecordBatch, text_col: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about ``most`` bytes of text, one row at least."""
-    sizes = [n or 0 for n in pa.compute.binary_length(batch.column(text_col)).to_pylist()]
-    start, size = 0, 0
-    for k, n in enumerate(sizes):
-        if size and size + n > most:
-            yield batch.slice(start, k - start)
-            start, size = k, 0
-        size += n
-    if start < len(sizes):
-        yield batch.slice(start)
-
-
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """All rows and columns of ``df`` plus the decoded text: token strings joined by blanks; null ids give an empty text."""
     ship(df.sparkSession)

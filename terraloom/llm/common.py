@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 #: White space between words and around lines: blank and the five controls 0x09 to 0x0D.
 WS = " \t\n\x0b\x0c\r"
 WS_CLASS = r"[\x20\x09-\x0D]"
+ARROW_BYTES, MOST_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,7 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder to cut lineage; they survive lost executors.
 
-    ``save`` writes and rereads a table, ``drop`` deletes the tables no longer read.
+    ``save`` writes and rereads a table, ``drop`` deletes the tables no longer read. While a table is written, Arrow batches are
+    held to MOST_BYTES, so that a worker's memory is bounded whatever the length of the rows.
     """
 
     def __init__(self, spark: SparkSession):
@@ -63,7 +68,12 @@ class Scratch:
 
     def save(self, df: DataFrame) -> DataFrame:
         path = f"{shared_dir(self.spark)}/terraloom-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        asked = self.spark.conf.get(ARROW_BYTES, None)
+        self.spark.conf.set(ARROW_BYTES, str(min(int(asked or MOST_BYTES), MOST_BYTES)))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(ARROW_BYTES) if asked is None else self.spark.conf.set(ARROW_BYTES, asked)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths.append(path)
         out._terraloom_path = path
@@ -99,3 +109,16 @@ def small(df: DataFrame, rows: int, most: int) -> DataFrame:
 def widened(schema: T.StructType, ddl: str) -> T.StructType:
     """The schema with the fields of ``ddl`` behind its own."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
+def sliced(batch: pa.RecordBatch, text_col: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``most`` bytes of text, one row at least."""
+    sizes = [n or 0 for n in pa.compute.binary_length(batch.column(text_col)).to_pylist()]
+    start, size = 0, 0
+    for k, n in enumerate(sizes):
+        if size and size + n > most:
+            yield batch.slice(start, k - start)
+            start, size = k, 0
+        size += n
+    if start < len(sizes):
+        yield batch.slice(start)

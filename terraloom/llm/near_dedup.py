@@ -5,11 +5,17 @@ its weight; every arrival goes to a random register, and a register keeps the sh
 a register with their probability Jaccard. A process ends early, once its next arrival is later than all registers' first
 ones. Registers are banded; texts that share a band are candidates and are verified exactly.
 
-Texts with equal shingles are folded into one node first. In a bucket, a pivot is compared with all members and classes are
-joined, round by round, while that leaves many pairs of different classes; then every such pair is compared. Texts of which
-less than the threshold's share of shingles stands in any other candidate can't reach it with any text, so they are set aside
-first, and the text that shares most is the next pivot. So a bucket of copies costs a few comparisons for each member, and no
-candidate pair between different classes is left out that could reach the threshold.
+Texts with equal shingles are folded into one node first. Then three steps join nodes into classes:
+
+1. in each bucket (nodes that share a band) one node is compared with all others;
+2. in buckets that still hold several classes, the most central node is compared with those of other classes; texts of which
+   less than the threshold's share of shingles stands in any other candidate are set aside, since they can't reach it;
+3. what is left between classes is joined over an inverted index of shingles, the rarest first. Of two texts that reach the
+   threshold the first common shingle stands so far ahead in both that little mass lies before it, so each text is listed
+   only under its rarest shingles, by length, and only pairs whose bounds reach the threshold are compared.
+
+So a group of copies costs a few comparisons for each member, never all its pairs, and no candidate pair of different classes
+is left out that could reach the threshold.
 """
 
 from __future__ import annotations
@@ -19,19 +25,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship, small
+from .common import Scratch, ship, sliced, small
 from .words import Cache, hashed_words, mix, shingles, word_hash
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Registers are BANDS x ROWS. A pair at 0.8 shares a band with probability 1 - (1 - 0.8^5)^25 = 0.99995.
 BANDS, ROWS = 25, 5
-#: Rounds with pivots at most, and the pairs for each member of a bucket that are compared without a further round.
-ROUNDS, PAIRS_PER_MEMBER = 5, 1
 #: Candidate ids are broadcast up to so many rows of 8 bytes; beyond, Spark shuffles.
 BROADCAST_ROWS = 500_000
+#: Bytes of a stored shingle; members of one pivot that are compared in one task; step of the length classes.
+GRAM_BYTES, SLICE, LENGTH_STEP = 6, 512, 0.02
+#: Words whose hashes a worker keeps.
+KNOWN_WORDS = 100_000
+EPS = 1e-6
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,26 +72,56 @@ def band_keys(who: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two ascending arrays of shingles in which a shingle of weight w stands w times; 0 if either is empty.
+def packed(grams: np.ndarray) -> bytes:
+    """Shingles cut to their upper 48 bits, ascending, with repeats."""
+    cut = np.sort(grams >> np.uint64(64 - 8 * GRAM_BYTES)).astype("<u8")
+    return cut.view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes()
+
+
+def unpacked(data) -> np.ndarray:
+    flat = np.frombuffer(data, np.uint8).reshape(-1, GRAM_BYTES)
+    out = np.zeros((len(flat), 8), np.uint8)
+    out[:, :GRAM_BYTES] = flat
+    return out.reshape(-1).view("<u8").astype(np.int64)
+
+
+class Pivot:
+    """A text's shingles (ascending, a shingle of weight w stands w times), ready to be compared with many."""
+
+    def __init__(self, grams: np.ndarray):
+        self.n = len(grams)
+        self.keys, self.weights = np.unique(grams, return_counts=True)
+
+    def similarity(self, other: np.ndarray) -> float:
+        """The probability Jaccard with another text; 0 if either is empty.
+
+        The sum over common i of 1 / sum_j max(a_j / a_i, b_j / b_i): the chance that one exponential race with these rates
+        has the same winner in both. With weights of 1 it is the Jaccard coefficient.
+        """
+        if not self.n or not len(other):
+            return 0.0
+        plain = len(self.keys) == self.n and bool((other[1:] != other[:-1]).all())
+        keys, wb = (other, None) if plain else np.unique(other, return_counts=True)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        held = self.keys[at] == keys
+        k = int(held.sum())
+        if plain:
+            return k / (self.n + len(other) - k)
+        if not k:
+            return 0.0
+        a, b = self.weights[at[held]].astype(np.float64), wb[held].astype(np.float64)
+        # Shingles of one text only have ratios of infinity or 0 and stand at the ends of the order.
+        ratio = a / b
+        order = np.argsort(-ratio, kind="stable")
+        ahead = self.n - a.sum() + np.cumsum(a[order])
+        behind = np.concatenate((np.cumsum(b[order][::-1])[::-1], [0.0])) + (len(other) - b.sum())
+        last = np.searchsorted(-ratio[order], -ratio, side="right")
+        return float((1 / (ahead[last - 1] / a + behind[last] / b)).sum())
 
-    The sum over common i of 1 / sum_j max(a_j / a_i, b_j / b_i): the chance that one exponential race with these rates has
-    the same winner in both. With weights of 1 it is the Jaccard coefficient.
-    """
-    if not len(a) or not len(b):
-        return 0.0
-    both = np.concatenate((a, b))
-    keys, where = np.unique(both, return_inverse=True)
-    wa = np.bincount(where[: len(a)], minlength=len(keys)).astype(np.float64)
-    wb = np.bincount(where[len(a) :], minlength=len(keys)).astype(np.float64)
-    common = (wa > 0) & (wb > 0)
-    if wa.max() == wb.max() == 1:
-        return float(common.sum() / len(keys))
-    ratio = np.divide(wa, wb, out=np.full(len(keys), np.inf), where=wb > 0)
-    order = np.argsort(-ratio, kind="stable")
-    ahead, behind = np.cumsum(wa[order]), np.concatenate((np.cumsum(wb[order][::-1])[::-1], [0.0]))
-    at = np.searchsorted(-ratio[order], -ratio[common], side="right")
-    return float((1 / (ahead[at - 1] / wa[common] + behind[at] / wb[common])).sum())
+
+def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two ascending arrays of shingles."""
+    return Pivot(a).similarity(b)
 
 
 def _flush(texts: list[tuple[int, np.ndarray]], keys: list, bands: list) -> None:
@@ -95,16 +134,16 @@ def _flush(texts: list[tuple[int, np.ndarray]], keys: list, bands: list) -> None
 
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, key, bands, grams): grams are the shingles cut to 32 bits, ascending, with repeats."""
-    cache = Cache(word_hash)
-    for b in batches:
-        texts = b.column(1).to_pylist()
+    """(id, mark, text) to (id, mark, key, bands, grams): grams are the packed shingles."""
+    cache = Cache(word_hash, KNOWN_WORDS)
+    for b in (part for whole in batches for part in sliced(whole, "text")):
+        texts = b.column("text").to_pylist()
         keys, bands, grams, open_, size = [None] * len(texts), [None] * len(texts), [None] * len(texts), [], 0
         for k, t in enumerate(texts):
             g = shingles(hashed_words(t or "", cache), SHINGLE)
             if not len(g):
                 continue
-            grams[k] = np.sort((g >> np.uint64(32)).astype(np.uint32)).tobytes()
+            grams[k] = packed(g)
             open_.append((k, g))
             size += len(g)
             if size >= 100_000:
@@ -112,62 +151,135 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 open_, size = [], 0
         if open_:
             _flush(open_, keys, bands)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.binary())], names=["id", "key", "bands", "grams"])
+        more = [pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.binary())]
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("mark"), *more], names=["id", "mark", "key", "bands", "grams"])
 
 
 def _verified(threshold: float):
+    """(a, b, grams), each pivot's own row, with a null b, ahead of its members: the pairs that reach the threshold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ga, gb = b.column(2), b.column(3)
-            ok = [probability_jaccard(np.frombuffer(ga[k].as_buffer(), np.uint32), np.frombuffer(gb[k].as_buffer(), np.uint32)) >= threshold - 1e-9 for k in range(len(b))]
-            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+        pivot = None
+        for batch in batches:
+            found = []
+            for a, b, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                grams = unpacked(g.as_buffer())
+                if b is None:
+                    pivot = Pivot(grams)
+                elif pivot.similarity(grams) >= threshold - 1e-9:
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, grams) to (node, gram, part, size, plain): the shingles and their shares of the text's weight."""
+    """(node, grams) to (node, gram, part, size, plain): the distinct shingles and their shares of the text's weight, the text's
+    number of shingles and whether none repeats."""
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        sizes = [len(r[1]) for r in rows]
+        of = lambda values, kind: pa.array(np.repeat(np.array(values, kind), sizes))
+        total = [r[3] for r in rows]
+        columns = [of([r[0] for r in rows], np.int64), pa.array(np.concatenate([r[1] for r in rows])), pa.array(np.concatenate([r[2] for r in rows]))]
+        columns += [of(total, np.int64), of([n == m for n, m in zip(total, sizes, strict=True)], np.bool_)]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "gram", "part", "size", "plain"])
+
     for b in batches:
+        rows, size = [], 0
         for node, g in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            gram, n = np.unique(np.frombuffer(g.as_buffer(), np.int32), return_counts=True)
-            size = int(n.sum())
-            columns = [np.full(len(gram), node), gram, n / size, np.full(len(gram), size), np.full(len(gram), size == len(gram))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "gram", "part", "size", "plain"])
+            grams = unpacked(g.as_buffer())
+            gram, n = np.unique(grams, return_counts=True)
+            rows.append((node, gram, n / len(grams), len(grams)))
+            size += len(gram)
+            if size >= 100_000:
+                yield made(rows)
+                rows, size = [], 0
+        if rows:
+            yield made(rows)
 
 
-def shared_shares(store: Scratch, sets: DataFrame) -> DataFrame:
-    """(node, share, size, plain): the share of a text's weight on shingles that stand in another text of ``sets`` too, its
-    number of shingles and whether none repeats."""
-    ex = sets.select("node", "grams").mapInArrow(_exploded, "node bigint, gram int, part double, size bigint, plain boolean")
-    twice = ex.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("gram")
-    return store.save(ex.join(twice, "gram").groupBy("node").agg(F.sum("part").alias("share"), F.max("size").alias("size"), F.max("plain").alias("plain")))
+EXPLODED = "node bigint, gram bigint, part double, size bigint, plain boolean"
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several classes. Sort-merge joins: Spark splits the partition of a hot bucket."""
+    buckets = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
+    return members.join(buckets.hint("merge"), "band")
 
 
-def reachable(x: str, y: str, threshold: float) -> Column:
-    """Whether two texts, structs of ``shared_shares``, can reach the threshold.
+def _links(store: Scratch, pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The distinct pairs (a, b) whose texts reach the threshold.
 
-    Of plain texts at most the lesser number of shared shingles is common, and that fixes the greatest Jaccard. In general,
-    with shares s and own shares u = 1 - s, the sum over common i of 1 / (1 / x_i + u_y / y_i) bounds the probability Jaccard;
-    its terms are concave and homogeneous, so it is at most s_x s_y / (s_y + u_y s_x), and likewise with x and y exchanged.
+    The members of a pivot are dealt in slices; the pivot's shingles travel once for each slice, a member's once for each pair.
     """
-    c = lambda t, n: F.col(f"{t}.{n}")
-    sx, sy = c(x, "share"), c(y, "share")
-    most = F.least(sx * c(x, "size"), sy * c(y, "size"))
-    plain = most / (c(x, "size") + c(y, "size") - most)
-    weighted = sx * sy / F.greatest(sy + (1 - sy) * sx, sx + (1 - sx) * sy)
-    return F.when(c(x, "plain") & c(y, "plain"), plain).otherwise(weighted) >= threshold - 1e-6
+    pairs = store.save(pairs.distinct())
+    counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    placed = store.save(pairs.join(counts.hint("merge"), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.floor(F.col("n") / SLICE) + 1).alias("slice")))
+    of = lambda side: sets.select(F.col("node").alias(side), "grams")
+    heads = placed.select("a", "slice").distinct().join(of("a"), "a").select("a", "slice", F.lit(None).cast("bigint").alias("b"), "grams")
+    members = placed.join(of("b").hint("merge"), "b").select("a", "slice", "b", "grams")
+    both = heads.union(members).repartition("a", "slice").sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
+    out = store.save(both.select("a", "b", "grams").mapInArrow(_verified(threshold), "a bigint, b bigint"))
+    store.drop(pairs, placed)
+    return out
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """The rows of buckets that hold several classes."""
-    buckets = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    return members.join(buckets, "band")
+def _class_of_length(n: Column) -> Column:
+    """Texts of about the same number of shingles have one class; classes are ordered by it."""
+    return F.floor(F.log(n.cast("double")) / LENGTH_STEP).cast("int")
 
 
-def _links(store: Scratch, pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The distinct pairs (a, b) whose texts reach the threshold."""
-    full = pairs.distinct().join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
-    return store.save(full.select("a", "b", "ga", "gb").mapInArrow(_verified(threshold), "a bigint, b bigint"))
+def _best_jaccard(k: Column, n: Column, m: Column) -> Column:
+    """The greatest Jaccard of two plain texts of n and at least m shingles of which at most k are common."""
+    return k / (n + F.greatest(m, k) - k)
+
+
+def _listed(weighted: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(probing, stored) postings (gram, list, node, root, suffix, k, size, plain) of texts, the rarest shingles ahead.
+
+    ``suffix`` is the share of the text's weight that stands at the posting's shingle or behind and could be common, ``k`` the
+    number of these shingles. For common masses x and y the probability Jaccard is at most 1 / (1 / x + 1 / y - 1): the sum
+    over common i of 1 / (1 / x_i + u_y / y_i) bounds it, u being the weight of one text alone, and its terms are concave and
+    homogeneous. So the lesser mass is at least the threshold and the greater at least ``more``. Plain texts (no shingle
+    repeats) are stored by length, and the longer of two probes; list -1 holds the others, list -2 plain texts for them.
+    """
+    ahead = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = weighted.withColumn("suffix", F.sum("part").over(ahead)).withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram"))))
+    rows = rows.where(F.col("suffix") >= threshold - EPS).select("gram", "node", "root", "suffix", "k", "size", "plain")
+    k, n, plain = F.col("k"), F.col("size"), F.col("plain")
+    none = F.array().cast("array<int>")
+    more = 2 / (1 + 1 / threshold)
+    own = F.when(_best_jaccard(k, n, n) >= threshold - EPS, F.array(_class_of_length(n))).otherwise(none)
+    wide = F.when(F.col("suffix") >= more - EPS, F.array(F.when(plain, F.lit(-2)).otherwise(F.lit(-1)))).otherwise(none)
+    stored = rows.withColumn("list", F.explode(F.concat(F.when(plain, own).otherwise(none), wide)))
+    # A class holds lengths from exp(c step) on; a shorter text has at least the threshold's share of the longer one's length.
+    lengths = F.sequence(F.greatest(_class_of_length(n * threshold) - 1, F.lit(0)), _class_of_length(n))
+    able = F.filter(lengths, lambda c: _best_jaccard(k, n, F.exp(c * LENGTH_STEP) * (1 - EPS)) >= threshold - EPS)
+    probing = rows.withColumn("list", F.explode(F.when(plain, F.concat(able, F.array(F.lit(-1)))).otherwise(F.array(F.lit(-1), F.lit(-2)))))
+    return probing, stored
+
+
+def _across(store: Scratch, weighted: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of different classes whose bounds reach the threshold. ``weighted`` has (node, root, gram, part, size,
+    plain, n), n being the number of texts that hold the shingle."""
+    probing, stored = (store.save(x) for x in _listed(weighted, threshold))
+    counts = probing.select("gram", "list", "root").union(stored.select("gram", "list", "root")).groupBy("gram", "list", "root").agg(F.count("*").alias("c"))
+    lists = counts.groupBy("gram", "list").agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
+    lists = store.save(lists.select("gram", "list", "most"))
+    named = lambda rows, s: rows.select("gram", "list", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "root", "suffix", "k", "size", "plain", "most")])
+    x, y = (named(rows.join(lists.hint("merge"), ["gram", "list"]), s) for rows, s in ((probing, "x"), (stored, "y")))
+    k = F.least("x_k", "y_k")
+    plain = k / (F.col("x_size") + F.col("y_size") - k)
+    other = 1 / (1 / F.col("x_suffix") + 1 / F.col("y_suffix") - 1)
+    able = (F.col("x_root") != F.col("y_root")) & (F.when(F.col("x_plain") & F.col("y_plain"), plain).otherwise(other) >= threshold - EPS)
+    # A list's largest class is never compared with itself.
+    sides = ((x.where("x_root <> x_most"), y), (x.where("x_root = x_most"), y.where("y_root <> y_most")))
+    first, second = (one.join(two.hint("merge"), ["gram", "list"]).where(able).select("x_node", "y_node") for one, two in sides)
+    pairs = first.union(second)
+    out = store.save(pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
+    store.drop(probing, stored, lists)
+    return out
 
 
 def components(store: Scratch, edges: DataFrame) -> DataFrame:
@@ -176,41 +288,140 @@ def components(store: Scratch, edges: DataFrame) -> DataFrame:
     Every node points to its least neighbour; pointers are followed to their ends, which at least halves the nodes that have
     an edge; edges are drawn anew between the ends until none is left.
     """
-    whole = None
+    whole, given = None, edges
     while True:
         both = edges.select("a", "b").union(edges.select("b", "a"))
         parent = store.save(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")))
         while True:
             up = parent.select(F.col("a").alias("p"), F.col("p").alias("q"))
-            then = store.save(parent.join(up, "p").select("a", F.col("q").alias("p"), (F.col("q") < F.col("p")).alias("moved")))
+            then = store.save(parent.join(up.hint("merge"), "p").select("a", F.col("q").alias("p"), (F.col("q") < F.col("p")).alias("moved")))
             store.drop(parent)
             parent = then
             if parent.where("moved").isEmpty():
                 break
         roots = parent.select(F.col("a").alias("node"), F.col("p").alias("root"))
         if whole is None:
-            whole = roots
+            then = store.save(roots)
         else:
-            step = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            whole = store.save(whole.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+            then = store.save(_renamed(whole, roots.select(F.col("node").alias("root"), F.col("root").alias("next"))))
+            store.drop(whole)
+        whole = then
         ends = edges.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
-        edges = store.save(ends.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        then = store.save(ends.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        store.drop(parent, *[edges] * (edges is not given))
+        edges = then
         if edges.isEmpty():
+            store.drop(edges)
             return whole
 
 
-def _merged(store: Scratch, known: DataFrame | None, links: DataFrame) -> DataFrame:
-    """``known`` (node, root) with the links' components."""
-    if known is None:
-        return components(store, links)
-    a, b = (known.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-    ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
-    ends = store.save(ends.distinct())
-    if ends.isEmpty():
-        return known
-    step = components(store, ends)
-    new = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct().join(known, "node", "left_anti").select("node", F.col("node").alias("root"))
-    return store.save(known.union(new).join(step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+def _renamed(known: DataFrame, step: DataFrame) -> DataFrame:
+    """(node, root) with the roots that ``step`` (root, next) names replaced."""
+    return known.join(step.hint("merge"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+
+
+def _merged(store: Scratch, known: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """``known`` (node, root) with the links' components; ``links`` and the old table are dropped."""
+    if links.isEmpty():
+        out = known
+    elif known is None:
+        out = components(store, links)
+    else:
+        a, b = (known.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+        ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
+        ends = store.save(ends.distinct())
+        step = components(store, ends) if not ends.isEmpty() else store.save(known.limit(0))
+        new = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct().join(known, "node", "left_anti").select("node", F.col("node").alias("root"))
+        out = store.save(_renamed(known.union(new), step.select(F.col("node").alias("root"), F.col("root").alias("next"))))
+        store.drop(known, ends, step)
+    store.drop(links)
+    return out
+
+
+def _placed(store: Scratch, members: DataFrame, held: DataFrame | None) -> DataFrame:
+    """``members`` of the buckets that hold several classes, with their roots; the old table is dropped."""
+    if members.isEmpty():
+        return members
+    bare = members.drop("root", "pivot")
+    with_root = bare.withColumn("root", F.col("node")) if held is None else bare.join(held, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    out = store.save(_mixed(with_root))
+    store.drop(members)
+    return out
+
+
+def _roots(store: Scratch, judged: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame | None:
+    """(node, root) of the nodes that are linked to others; None if none is."""
+    rep = nodes.select(F.col("least.id").alias("id"), F.col("least.mark").alias("mark"), "key", "node")
+    own = judged.join(rep, ["id", "mark", "key"])
+    first = store.save(own.select("node", F.explode("bands").alias("band")).distinct())
+    shared = first.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("band", "pivot")
+    members = store.save(first.join(shared.hint("merge"), "band").select("band", "node", "pivot"))
+    store.drop(first)
+    if members.isEmpty():
+        store.drop(members)
+        return None
+    wanted = store.save(members.select("node").distinct().join(rep, "node"))
+    # Rows that repeat a text whole are equal here, so any of them will do.
+    sets = store.save(judged.join(small(wanted, wanted.count(), BROADCAST_ROWS), ["id", "mark", "key"]).select("node", "grams").dropDuplicates(["node"]))
+    store.drop(wanted)
+    pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    held = _merged(store, None, _links(store, pairs, sets, threshold))
+
+    members = _placed(store, members, held)
+    if not members.isEmpty():
+        held = _joined_across(store, members, sets, held, threshold)
+    store.drop(sets, members)
+    return held
+
+
+def _joined_across(store: Scratch, members: DataFrame, sets: DataFrame, held: DataFrame | None, threshold: float) -> DataFrame | None:
+    """``held`` with the links between the classes of ``members`` (band, node, root)."""
+    exploded = lambda nodes: sets.join(nodes, "node").select("node", "grams").mapInArrow(_exploded, EXPLODED)
+    ex = exploded(members.select("node").distinct())
+    seen = store.save(ex.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
+    about = ex.join(seen.hint("merge"), "gram").groupBy("node").agg(F.sum("part").alias("share"), F.sum(F.col("part") * F.col("n")).alias("central"))
+    able = store.save(about.where(F.col("share") >= threshold - EPS).select("node", "central"))
+    then = store.save(_mixed(members.join(able, "node")))
+    store.drop(able)
+    centres = then.groupBy("band").agg(F.max_by(F.struct("node", "root"), F.struct("central", "node")).alias("c"))
+    pairs = then.join(centres.hint("merge"), "band").where("root <> c.root").select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+    held = _merged(store, held, _links(store, pairs, sets, threshold))
+
+    left = _placed(store, then, held)
+    open_ = store.save(left.select("node", "root").distinct())
+    if not open_.isEmpty():
+        weighted = exploded(open_.select("node")).join(seen.hint("merge"), "gram").join(open_, "node")
+        across = _across(store, weighted, threshold)
+        held = _merged(store, held, _links(store, across, sets, threshold))
+        store.drop(across)
+    store.drop(left, open_, seen)
+    return held
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[Scratch, DataFrame, DataFrame]:
+    """(store, rows, keys): rows (id, mark, key) for each row of ``docs``, the mark being a hash of the text and the key one of
+    its shingles; keys (key, class_id, stays) with the least id of the class and its struct (id, mark) that stays."""
+    spark = docs.sparkSession
+    ship(spark)
+    store = Scratch(spark)
+    text = F.col(text_col).cast("string")
+    given = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    signed_rows = store.save(given.mapInArrow(signed, "id bigint, mark bigint, key string, bands array<bigint>, grams binary"))
+    judged = signed_rows.where("id IS NOT NULL AND key IS NOT NULL")
+    # A node is a text, not an id: several texts may have one id.
+    nodes = store.save(judged.groupBy("key").agg(F.min(F.struct("id", "mark")).alias("least")).withColumn("node", F.xxhash64("key")))
+    held = _roots(store, judged, nodes, threshold)
+    stays = F.struct(F.col("least.id").alias("id"), "key", F.col("least.mark").alias("mark"))
+    keys = nodes.select("key", F.col("node").alias("root"), stays.alias("own"))
+    if held is not None:
+        rooted = store.save(nodes.join(held, "node").select("key", "root", stays.alias("own")))
+        best = rooted.groupBy("root").agg(F.min("own").alias("best"))
+        linked = store.save(rooted.join(best.hint("merge"), "root").select("key", "best"))
+        keys = nodes.select("key", stays.alias("own")).join(linked, "key", "left").select("key", F.coalesce("best", "own").alias("own"))
+    keys = store.save(keys.select("key", F.col("own.id").alias("class_id"), F.struct("own.id", "own.mark").alias("stays")))
+    rows = store.save(signed_rows.select("id", "mark", "key"))
+    store.drop(signed_rows, nodes, *[held, rooted, linked] if held is not None else [])
+    return store, rows, keys
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -218,73 +429,31 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
     Words are runs of non-white-space, lower-cased, letters and digits only. Fewer than five words make one shingle. Null
     texts and texts without words are alike to nothing and a class of their own; so are rows with a null id, whose class is
-    null. Rows that repeat an id are judged by their own text. The id must be an integer. Other columns aren't read.
+    null. Rows that repeat an id are judged by their own text; rows that repeat id and text are alike. An empty table gives an
+    empty result. Texts of any length are compared whole. The id must be an integer. Other columns aren't read.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    store = Scratch(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed_rows = store.save(rows.mapInArrow(signed, "id bigint, key string, bands array<bigint>, grams binary"))
-    judged = signed_rows.where("id IS NOT NULL AND key IS NOT NULL")
-    # A node is a text, not an id: several texts may have one id. ``least`` is the least id of the text.
-    nodes = store.save(judged.groupBy("key").agg(F.min("id").alias("least")).withColumn("node", F.xxhash64("key")))
-    first = judged.select("id", "key", "bands").join(nodes, "key").where("id = least").select("node", F.explode("bands").alias("band"))
-    first = store.save(first)
-    shared = first.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    members = store.save(first.join(shared, "band").select("band", "node", "pivot"))
-    store.drop(first)
-    wanted = store.save(nodes.join(members.select("node").distinct(), "node").select("key", F.col("least").alias("id"), "node"))
-    own = judged.select("id", "key", "grams").join(small(wanted, wanted.count(), BROADCAST_ROWS), ["id", "key"])
-    sets = store.save(own.select("node", "grams").dropDuplicates(["node"]))
-    pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    found, held, past = _links(store, pairs, sets, threshold), None, None
-    for k in range(1, ROUNDS + 1):
-        news = not found.isEmpty()
-        if news:
-            held = _merged(store, held, found)
-        placed = members.drop("root")
-        placed = placed.join(held, "node", "left").withColumn("root", F.coalesce("root", "node")) if held is not None else placed.withColumn("root", F.col("node"))
-        rest = store.save(_mixed(placed))
-        store.drop(members)
-        members = rest
-        if k == 1:
-            open_ = members.select("node").distinct()
-            able = shared_shares(store, sets.join(open_, "node")).where(F.col("share") >= threshold - 1e-9)
-            rest = store.save(_mixed(members.drop("pivot").join(able, "node")))
-            store.drop(members)
-            members = rest
-        sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-        per = store.save(sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.max_by("root", F.struct("n", "root")).alias("most")))
-        total, left = per.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
-        if not total:
-            break
-        about = F.struct("share", "size", "plain")
-        if left <= PAIRS_PER_MEMBER * total or not news or k == ROUNDS:
-            # The last round: all pairs of different classes, those outside a bucket's largest class against the whole bucket.
-            full = members.join(per.select("band", "most"), "band")
-            x = full.where("root <> most").select("band", F.col("node").alias("a"), F.col("root").alias("ra"), about.alias("x"))
-            y = full.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), "most", about.alias("y"))
-            across = x.join(y, "band").where(F.expr("ra <> rb AND (rb = most OR a < b)") & reachable("x", "y", threshold))
-            found = _links(store, across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, threshold)
-            held = held if found.isEmpty() else _merged(store, held, found)
-            break
-        fresh = members if past is None else members.join(past, ["band", "node"], "left_anti")
-        best = F.struct("share", F.xxhash64("node"))
-        pick = store.save(fresh.groupBy("band").agg(F.max_by(F.struct("node", "root", "share", "size", "plain"), best).alias("p")))
-        used = pick.select("band", F.col("p.node").alias("node"))
-        past = used if past is None else past.union(used)
-        pairs = members.select("band", "node", "root", about.alias("m")).join(pick, "band").where((F.col("root") != F.col("p.root")) & reachable("m", "p", threshold))
-        found = _links(store, pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")), sets, threshold)
-    store.drop(sets, members)
-    by_key = nodes.withColumn("class", F.col("least"))
-    if held is not None:
-        lowest = store.save(nodes.join(held, "node").groupBy("root").agg(F.min("least").alias("lowest")))
-        by_key = nodes.join(held, "node", "left").join(small(lowest, lowest.count(), BROADCAST_ROWS), "root", "left").withColumn("class", F.coalesce("lowest", "least"))
-    out = signed_rows.select("id", "key").join(by_key.select("key", "class"), "key", "left")
-    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("class", "id")).alias("class_id"))
+    _, rows, keys = _judged(docs, id_col, text_col, threshold)
+    known = rows.where("id IS NOT NULL AND key IS NOT NULL").join(keys.select("key", "class_id").hint("merge"), "key").select("id", "class_id")
+    alone = rows.where("id IS NULL OR key IS NULL").select("id", F.col("id").alias("class_id"))
+    return known.union(alone).select(F.col("id").alias(id_col), "class_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its class, with all their columns; rows with a null id stay."""
-    gone = classes(docs, id_col, text_col, threshold).where(F.col(id_col) > F.col("class_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """``docs``, with all its columns, less all rows but one of each class: the one with the least id.
+
+    Of rows that repeat this id in the class one stays too, of equal rows any. Rows with a null id and texts without words stay
+    all. An empty table gives an empty result. The ids that go are broadcast if they are few, else the texts are shuffled.
+    """
+    store, rows, keys = _judged(docs, id_col, text_col, threshold)
+    judged = rows.where("id IS NOT NULL AND key IS NOT NULL")
+    own = F.struct("id", "mark")
+    gone = store.save(judged.join(keys.select("key", "stays").hint("merge"), "key").where(own != F.col("stays")).select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct())
+    twice = store.save(judged.groupBy("id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("__id"), F.col("mark").alias("__mark")))
+    store.drop(rows, keys)
+    key, mark = F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col).cast("string"))
+    same = (key == F.col("__id")) & (mark == F.col("__mark"))
+    left = docs.join(small(gone, gone.count(), BROADCAST_ROWS), same, "left_anti")
+    if twice.isEmpty():
+        return left
+    few = small(twice, twice.count(), BROADCAST_ROWS)
+    return left.join(few, same, "left_anti").union(left.join(few, same, "left_semi").dropDuplicates([id_col, text_col]))

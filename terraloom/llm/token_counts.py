@@ -17,8 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import LETTERS, NEVER, Merges, sliced
-from .common import ship, widened
+from .bpe import LETTERS, NEVER, Merges
+from .common import ship, sliced, widened
 from .words import LONGEST, Cache
 
 #: The word pattern of byte-level vocabularies that leave it to the library.
