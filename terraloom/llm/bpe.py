@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, sliced, widened
-from .words import Cache
+from .words import Cache, WordPattern
 
 
 def byte_letters() -> list[str]:
@@ -99,7 +99,7 @@ class Bpe:
         plain = all(not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"])
         if kinds != ["NFC", "Replace", "Lowercase"] or (split["behavior"], split["invert"], level["use_regex"], level["add_prefix_space"]) != ("Removed", True, False, False) or spec["decoder"] or not plain:
             raise ValueError("this vocabulary needs other steps than those written here")
-        self.word = regex.compile(split["pattern"]["Regex"], regex.V0)
+        self.word = WordPattern(path, split["pattern"]["Regex"])
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.names = {i: t for t, i in [*self.vocab.items(), *self.added.items()]}
         self.letter, self.last = [self.vocab[c] for c in LETTERS], [self.vocab[c + self.end] for c in LETTERS]
@@ -134,8 +134,11 @@ class Bpe:
         yield self._words(text[at:]), None
 
     def _words(self, text: str) -> list[str]:
+        if self.word.odd(text):
+            # The library's tables may also compose or lower-case what Python's leave alone.
+            return self.word.words(self.word.library.normalizer.normalize_str(text), True)
         # One letter at a time: a sigma at a word's end is no special case.
-        return self.word.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        return self.word.usual.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def decode(self, ids) -> str:
         return " ".join(self.names[i] for i in ids)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .bpe import LETTERS, NEVER, Merges
 from .common import ship, sliced, widened
-from .words import LONGEST, Cache
+from .words import LONGEST, Cache, WordPattern
 
 #: The word pattern of byte-level vocabularies that leave it to the library.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -50,7 +50,7 @@ class PrefixCounter:
         self.tails = {t[k:] for t in self.made for k in range(len(t))}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.find_special = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.word = regex.compile(PATTERN)
+        self.word = WordPattern(path, PATTERN)
         self.allowed = lru_cache(300_000)(self._allowed)
         self.states = Cache(self._state, 100_000)
         self.totals = Cache(lambda w: self._state(self.letters(w))[1][-1])
@@ -116,18 +116,18 @@ class PrefixCounter:
 
     def total(self, text: str) -> int:
         """The number of tokens of the whole text."""
-        n, at = 0, 0
+        n, at, odd = 0, 0, self.word.odd(text)
         for m in self.find_special.finditer(text) if self.find_special else ():
-            n += sum(map(self.totals.__getitem__, self.word.findall(text[at : m.start()]))) + 1
+            n += sum(map(self.totals.__getitem__, self.word.words(text[at : m.start()], odd))) + 1
             at = m.end()
-        return n + sum(map(self.totals.__getitem__, self.word.findall(text[at:])))
+        return n + sum(map(self.totals.__getitem__, self.word.words(text[at:], odd)))
 
     def _plain(self, text: str) -> np.ndarray:
         """Counts of the prefixes of 0, 1, ... characters of a text whose special strings count as text."""
         out, base = np.zeros(len(text) + 1, np.int64), 0
-        for m in self.word.finditer(text):
-            out[m.start() + 1 : m.end() + 1] = base + self.prefixes[m[0]]
-            base = int(out[m.end()])
+        for start, end in self.word.spans(text, self.word.odd(text)):
+            out[start + 1 : end + 1] = base + self.prefixes[text[start:end]]
+            base = int(out[end])
         # White space at a prefix's end is one word, whatever follows it in the text.
         for m in regex.finditer(r"\s+", text):
             out[m.start() + 1 : m.end() + 1] = out[m.start()] + self.prefixes[m[0]]

@@ -5,8 +5,13 @@ Tables of words seen are caches of bounded size; emptying one never changes a re
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cached_property
+
 import numpy as np
+import regex
 import xxhash
+from tokenizers import Tokenizer
 
 KNOWN, LONGEST = 300_000, 64
 #: What is first tried at the ends of a chunk.
@@ -76,3 +81,35 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
         for k in range(n):
             acc = mix(acc + words[k : len(words) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
     return acc
+
+
+class WordPattern:
+    """A vocabulary's word pattern, with the letters and numbers that its library knows.
+
+    The Unicode tables of the library and of ``regex`` are of different versions, which agree on the code points that Python's
+    tables assign. Texts with any other are ``odd``: the library itself cuts them into words.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        self.path, self.usual = path, regex.compile(pattern, regex.V0)
+        self.assigned: set[str] = set()
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def odd(self, text: str) -> bool:
+        if text.isascii() or not (new := set(text) - self.assigned):
+            return False
+        unknown = {c for c in new if unicodedata.category(c) == "Cn"}
+        self.assigned |= new - unknown
+        return bool(unknown)
+
+    def spans(self, text: str, odd: bool) -> list[tuple[int, int]]:
+        """Where the words of a text stand; ``odd`` tells of the text it is part of."""
+        if odd:
+            return [at for _, at in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        return [m.span() for m in self.usual.finditer(text)]
+
+    def words(self, text: str, odd: bool) -> list[str]:
+        return [text[a:b] for a, b in self.spans(text, True)] if odd else self.usual.findall(text)

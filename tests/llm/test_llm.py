@@ -198,6 +198,18 @@ def test_bpe_is_the_library(libraries, text):
     assert own.decode(ids) == lib.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point_is_the_library(libraries):
+    words, own, letters, counter = libraries
+    cache = Cache(own.encode_word)
+    # Every 7th of the large uniform blocks (ideographs, syllables), every 61st of planes without characters of their own.
+    step = lambda c: 7 if 0x3400 <= c < 0xA000 or 0xAC00 <= c < 0xD800 or 0x17000 <= c < 0x18D00 or 0x20000 <= c < 0x40000 else 61 if c >= 0x40000 or 0xE000 <= c < 0xF900 else 1
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not c % step(c)]
+    for lo in range(0, len(codes), 64):
+        text = "".join(f"a{chr(c)}:{chr(c)} 1{chr(c)}" for c in codes[lo : lo + 64])
+        assert bpe.encode_text(own, cache, text) == words.encode(text, add_special_tokens=False).ids, hex(lo)
+        assert counter.total(text) == len(letters.encode(text, add_special_tokens=False).ids), hex(lo)
+
+
 @settings(max_examples=120, deadline=None)
 @given(PIECES)
 def test_every_prefix_count_is_the_library(libraries, text):
