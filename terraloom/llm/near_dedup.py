@@ -38,8 +38,6 @@ BANDS, ROWS = 25, 5
 BROADCAST_ROWS = 500_000
 #: Bytes of a stored shingle; members of one pivot that are compared in one task; step of the length classes.
 GRAM_BYTES, SLICE, LENGTH_STEP = 6, 512, 0.02
-#: Words whose hashes a worker keeps.
-KNOWN_WORDS = 100_000
 EPS = 1e-6
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,21 +122,21 @@ def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return Pivot(a).similarity(b)
 
 
-def _flush(texts: list[tuple[int, np.ndarray]], keys: list, bands: list) -> None:
+def _flush(texts: list[tuple[int, np.ndarray]], keys: list, plain: list, bands: list) -> None:
     """Signatures of the (row, shingles) gathered."""
     parts = [np.unique(g, return_counts=True) for _, g in texts]
     owner = np.repeat(np.arange(len(parts)), [len(u) for u, _ in parts])
     who = signatures(np.concatenate([u for u, _ in parts]), np.concatenate([c for _, c in parts]).astype(np.float64), owner, len(parts))
-    for (row, g), band in zip(texts, band_keys(who), strict=True):
-        keys[row], bands[row] = xxhash.xxh3_128_hexdigest(np.sort(g).tobytes()), band
+    for (row, g), (u, _), band in zip(texts, parts, band_keys(who), strict=True):
+        keys[row], plain[row], bands[row] = xxhash.xxh3_128_hexdigest(np.sort(g).tobytes()), len(u) == len(g), band
 
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, mark, text) to (id, mark, key, bands, grams): grams are the packed shingles."""
-    cache = Cache(word_hash, KNOWN_WORDS)
+    """(row, id, mark, text) to (row, id, mark, key, plain, bands, grams): grams are the packed shingles, plain if none repeats."""
+    cache = Cache(word_hash)
     for b in (part for whole in batches for part in sliced(whole, "text")):
         texts = b.column("text").to_pylist()
-        keys, bands, grams, open_, size = [None] * len(texts), [None] * len(texts), [None] * len(texts), [], 0
+        keys, plain, bands, grams, open_, size = [None] * len(texts), [None] * len(texts), [None] * len(texts), [None] * len(texts), [], 0
         for k, t in enumerate(texts):
             g = shingles(hashed_words(t or "", cache), SHINGLE)
             if not len(g):
@@ -147,12 +145,15 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             open_.append((k, g))
             size += len(g)
             if size >= 100_000:
-                _flush(open_, keys, bands)
+                _flush(open_, keys, plain, bands)
                 open_, size = [], 0
         if open_:
-            _flush(open_, keys, bands)
-        more = [pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.binary())]
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("mark"), *more], names=["id", "mark", "key", "bands", "grams"])
+            _flush(open_, keys, plain, bands)
+        more = [pa.array(keys, pa.string()), pa.array(plain, pa.bool_()), pa.array(bands, pa.list_(pa.int64())), pa.array(grams, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in ("row", "id", "mark")), *more], names=["row", "id", "mark", "key", "plain", "bands", "grams"])
+
+
+SIGNED = "row bigint, id bigint, mark bigint, key string, plain boolean, bands array<bigint>, grams binary"
 
 
 def _verified(threshold: float):
@@ -174,23 +175,19 @@ def _verified(threshold: float):
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, grams) to (node, gram, part, size, plain): the distinct shingles and their shares of the text's weight, the text's
-    number of shingles and whether none repeats."""
+    """(node, grams) to (node, gram, part): the distinct shingles and their shares of the text's weight."""
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
-        sizes = [len(r[1]) for r in rows]
-        of = lambda values, kind: pa.array(np.repeat(np.array(values, kind), sizes))
-        total = [r[3] for r in rows]
-        columns = [of([r[0] for r in rows], np.int64), pa.array(np.concatenate([r[1] for r in rows])), pa.array(np.concatenate([r[2] for r in rows]))]
-        columns += [of(total, np.int64), of([n == m for n, m in zip(total, sizes, strict=True)], np.bool_)]
-        return pa.RecordBatch.from_arrays(columns, names=["node", "gram", "part", "size", "plain"])
+        nodes = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) for r in rows])
+        columns = [nodes, np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "gram", "part"])
 
     for b in batches:
         rows, size = [], 0
         for node, g in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             grams = unpacked(g.as_buffer())
             gram, n = np.unique(grams, return_counts=True)
-            rows.append((node, gram, n / len(grams), len(grams)))
+            rows.append((node, gram, n / len(grams)))
             size += len(gram)
             if size >= 100_000:
                 yield made(rows)
@@ -199,9 +196,6 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield made(rows)
 
 
-EXPLODED = "node bigint, gram bigint, part double, size bigint, plain boolean"
-
-
 def _mixed(members: DataFrame) -> DataFrame:
     """The rows of buckets that hold several classes. Sort-merge joins: Spark splits the partition of a hot bucket."""
     buckets = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
@@ -216,12 +210,14 @@ def _links(store: Scratch, pairs: DataFrame, sets: DataFrame, threshold: float)
     pairs = store.save(pairs.distinct())
     counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
     placed = store.save(pairs.join(counts.hint("merge"), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.floor(F.col("n") / SLICE) + 1).alias("slice")))
-    of = lambda side: sets.select(F.col("node").alias(side), "grams")
-    heads = placed.select("a", "slice").distinct().join(of("a"), "a").select("a", "slice", F.lit(None).cast("bigint").alias("b"), "grams")
-    members = placed.join(of("b").hint("merge"), "b").select("a", "slice", "b", "grams")
-    both = heads.union(members).repartition("a", "slice").sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
+    n = placed.count()
+    store.drop(pairs)
+    heads = sets.select(F.col("node").alias("a"), "grams").join(small(placed.select("a", "slice").distinct(), n, BROADCAST_ROWS), "a")
+    members = sets.select(F.col("node").alias("b"), "grams").join(small(placed, n, BROADCAST_ROWS), "b")
+    both = heads.select("a", "slice", F.lit(None).cast("bigint").alias("b"), "grams").union(members.select("a", "slice", "b", "grams"))
+    both = both.repartition("a", "slice").sortWithinPartitions("a", "slice", F.col("b").asc_nulls_first())
     out = store.save(both.select("a", "b", "grams").mapInArrow(_verified(threshold), "a bigint, b bigint"))
-    store.drop(pairs, placed)
+    store.drop(placed)
     return out
 
 
@@ -235,8 +231,8 @@ def _best_jaccard(k: Column, n: Column, m: Column) -> Column:
     return k / (n + F.greatest(m, k) - k)
 
 
-def _listed(weighted: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(probing, stored) postings (gram, list, node, root, suffix, k, size, plain) of texts, the rarest shingles ahead.
+def _listed(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(probing, stored): the postings ``rows`` (gram, node, root, suffix, k, size, plain) by list.
 
     ``suffix`` is the share of the text's weight that stands at the posting's shingle or behind and could be common, ``k`` the
     number of these shingles. For common masses x and y the probability Jaccard is at most 1 / (1 / x + 1 / y - 1): the sum
@@ -244,9 +240,6 @@ def _listed(weighted: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
     homogeneous. So the lesser mass is at least the threshold and the greater at least ``more``. Plain texts (no shingle
     repeats) are stored by length, and the longer of two probes; list -1 holds the others, list -2 plain texts for them.
     """
-    ahead = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = weighted.withColumn("suffix", F.sum("part").over(ahead)).withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram"))))
-    rows = rows.where(F.col("suffix") >= threshold - EPS).select("gram", "node", "root", "suffix", "k", "size", "plain")
     k, n, plain = F.col("k"), F.col("size"), F.col("plain")
     none = F.array().cast("array<int>")
     more = 2 / (1 + 1 / threshold)
@@ -263,7 +256,13 @@ def _listed(weighted: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
 def _across(store: Scratch, weighted: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of different classes whose bounds reach the threshold. ``weighted`` has (node, root, gram, part, size,
     plain, n), n being the number of texts that hold the shingle."""
-    probing, stored = (store.save(x) for x in _listed(weighted, threshold))
+    ahead = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = weighted.withColumn("suffix", F.sum("part").over(ahead)).withColumn("k", F.count("*").over(ahead))
+    rows = store.save(rows.where(F.col("suffix") >= threshold - EPS).select("gram", "node", "root", "suffix", "k", "size", "plain"))
+    grams = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gram")
+    held = store.save(rows.join(grams.hint("merge"), "gram"))
+    store.drop(rows)
+    probing, stored = _listed(held, threshold)
     counts = probing.select("gram", "list", "root").union(stored.select("gram", "list", "root")).groupBy("gram", "list", "root").agg(F.count("*").alias("c"))
     lists = counts.groupBy("gram", "list").agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
     lists = store.save(lists.select("gram", "list", "most"))
@@ -278,7 +277,7 @@ def _across(store: Scratch, weighted: DataFrame, threshold: float) -> DataFrame:
     first, second = (one.join(two.hint("merge"), ["gram", "list"]).where(able).select("x_node", "y_node") for one, two in sides)
     pairs = first.union(second)
     out = store.save(pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
-    store.drop(probing, stored, lists)
+    store.drop(held, lists)
     return out
 
 
@@ -351,18 +350,18 @@ def _placed(store: Scratch, members: DataFrame, held: DataFrame | None) -> DataF
 
 def _roots(store: Scratch, judged: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame | None:
     """(node, root) of the nodes that are linked to others; None if none is."""
-    rep = nodes.select(F.col("least.id").alias("id"), F.col("least.mark").alias("mark"), "key", "node")
-    own = judged.join(rep, ["id", "mark", "key"])
-    first = store.save(own.select("node", F.explode("bands").alias("band")).distinct())
-    shared = first.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("band", "pivot")
-    members = store.save(first.join(shared.hint("merge"), "band").select("band", "node", "pivot"))
-    store.drop(first)
-    if members.isEmpty():
+    bands = judged.select(F.xxhash64("key").alias("node"), F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
+    shared = store.save(shared.select("band", "pivot"))
+    n = shared.count()
+    # Beyond the broadcast a sort-merge join, for which Spark splits the partition of a hot band.
+    members = store.save(bands.join(F.broadcast(shared) if n <= BROADCAST_ROWS else shared.hint("merge"), "band").distinct())
+    store.drop(shared)
+    if not n:
         store.drop(members)
         return None
-    wanted = store.save(members.select("node").distinct().join(rep, "node"))
-    # Rows that repeat a text whole are equal here, so any of them will do.
-    sets = store.save(judged.join(small(wanted, wanted.count(), BROADCAST_ROWS), ["id", "mark", "key"]).select("node", "grams").dropDuplicates(["node"]))
+    wanted = store.save(members.select("node").distinct().join(nodes.select("node", F.col("least.row").alias("row")), "node"))
+    sets = store.save(judged.select("row", "plain", "grams").join(small(wanted, wanted.count(), BROADCAST_ROWS), "row").drop("row"))
     store.drop(wanted)
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     held = _merged(store, None, _links(store, pairs, sets, threshold))
@@ -376,10 +375,10 @@ def _roots(store: Scratch, judged: DataFrame, nodes: DataFrame, threshold: float
 
 def _joined_across(store: Scratch, members: DataFrame, sets: DataFrame, held: DataFrame | None, threshold: float) -> DataFrame | None:
     """``held`` with the links between the classes of ``members`` (band, node, root)."""
-    exploded = lambda nodes: sets.join(nodes, "node").select("node", "grams").mapInArrow(_exploded, EXPLODED)
-    ex = exploded(members.select("node").distinct())
+    ex = sets.select("node", "grams").join(members.select("node").distinct(), "node").mapInArrow(_exploded, "node bigint, gram bigint, part double")
     seen = store.save(ex.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
-    about = ex.join(seen.hint("merge"), "gram").groupBy("node").agg(F.sum("part").alias("share"), F.sum(F.col("part") * F.col("n")).alias("central"))
+    weighted = store.save(ex.join(seen.hint("merge"), "gram"))
+    about = weighted.groupBy("node").agg(F.sum("part").alias("share"), F.sum(F.col("part") * F.col("n")).alias("central"))
     able = store.save(about.where(F.col("share") >= threshold - EPS).select("node", "central"))
     then = store.save(_mixed(members.join(able, "node")))
     store.drop(able)
@@ -388,13 +387,14 @@ def _joined_across(store: Scratch, members: DataFrame, sets: DataFrame, held: Da
     held = _merged(store, held, _links(store, pairs, sets, threshold))
 
     left = _placed(store, then, held)
-    open_ = store.save(left.select("node", "root").distinct())
-    if not open_.isEmpty():
-        weighted = exploded(open_.select("node")).join(seen.hint("merge"), "gram").join(open_, "node")
-        across = _across(store, weighted, threshold)
+    open_ = store.save(left.select("node", "root").distinct().join(sets.select("node", "plain", (F.length("grams") / GRAM_BYTES).cast("long").alias("size")), "node"))
+    n = open_.count()
+    if n:
+        weighted_open = weighted.join(small(open_, n, BROADCAST_ROWS), "node")
+        across = _across(store, weighted_open, threshold)
         held = _merged(store, held, _links(store, across, sets, threshold))
         store.drop(across)
-    store.drop(left, open_, seen)
+    store.drop(left, open_, seen, weighted)
     return held
 
 
@@ -405,20 +405,21 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tu
     ship(spark)
     store = Scratch(spark)
     text = F.col(text_col).cast("string")
-    given = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    signed_rows = store.save(given.mapInArrow(signed, "id bigint, mark bigint, key string, bands array<bigint>, grams binary"))
+    given = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text")).select(F.monotonically_increasing_id().alias("row"), "*")
+    # Written before it is used, so that a row keeps its number.
+    signed_rows = store.save(given.mapInArrow(signed, SIGNED))
     judged = signed_rows.where("id IS NOT NULL AND key IS NOT NULL")
     # A node is a text, not an id: several texts may have one id.
-    nodes = store.save(judged.groupBy("key").agg(F.min(F.struct("id", "mark")).alias("least")).withColumn("node", F.xxhash64("key")))
+    nodes = store.save(judged.groupBy("key").agg(F.min(F.struct("id", "mark", "row")).alias("least")).withColumn("node", F.xxhash64("key")))
     held = _roots(store, judged, nodes, threshold)
-    stays = F.struct(F.col("least.id").alias("id"), "key", F.col("least.mark").alias("mark"))
-    keys = nodes.select("key", F.col("node").alias("root"), stays.alias("own"))
-    if held is not None:
-        rooted = store.save(nodes.join(held, "node").select("key", "root", stays.alias("own")))
-        best = rooted.groupBy("root").agg(F.min("own").alias("best"))
+    if held is None:
+        keys = nodes.select("key", "least")
+    else:
+        rooted = store.save(nodes.join(held, "node").select("key", "root", "least"))
+        best = rooted.groupBy("root").agg(F.min("least").alias("best"))
         linked = store.save(rooted.join(best.hint("merge"), "root").select("key", "best"))
-        keys = nodes.select("key", stays.alias("own")).join(linked, "key", "left").select("key", F.coalesce("best", "own").alias("own"))
-    keys = store.save(keys.select("key", F.col("own.id").alias("class_id"), F.struct("own.id", "own.mark").alias("stays")))
+        keys = nodes.select("key", "least").join(linked, "key", "left").select("key", F.coalesce("best", "least").alias("least"))
+    keys = store.save(keys.select("key", F.col("least.id").alias("class_id"), F.struct("least.id", "least.mark").alias("stays")))
     rows = store.save(signed_rows.select("id", "mark", "key"))
     store.drop(signed_rows, nodes, *[held, rooted, linked] if held is not None else [])
     return store, rows, keys

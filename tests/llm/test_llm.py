@@ -102,6 +102,8 @@ def folded(text):
 def brute_pj(a, b):
     a, b = Counter(a), Counter(b)
     keys = set(a) | set(b)
+    if set(a.values()) | set(b.values()) == {1}:
+        return len(set(a) & set(b)) / len(keys)
     return sum(1 / sum(max(a[j] / a[i], b[j] / b[i]) for j in keys) for i in set(a) & set(b))
 
 
@@ -124,7 +126,7 @@ def near_texts():
                     copy[rng.randrange(size)] = word()
                 out.append(" ".join(copy))
     base = [word() for _ in range(100)]
-    for _ in range(150):  # a large group around one text, with pairs on both sides of the threshold
+    for _ in range(80):  # a large group around one text, with pairs on both sides of the threshold
         copy = list(base)
         for _ in range(rng.randint(0, 5)):
             copy[rng.randrange(100)] = word()
