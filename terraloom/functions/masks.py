@@ -5,6 +5,7 @@ Null in a quality or band column means nodata. All results are plain expressions
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from .expressions import to_column
 
 #: Confidence fields of a quality word and their lowest bits, and the levels of such a field.
-CONFIDENCE_FIELDS = {"cloud": 8, "shadow": 10, "snow": 12, "cirrus": 14}
-CONFIDENCE_LEVELS = {"NONE": 0, "LOW": 1, "MEDIUM": 2, "RESERVED": 2, "HIGH": 3}
+CONFIDENCE_FIELDS = {"cloud": 8, "cloud_shadow": 10, "snow": 12, "cirrus": 14}
+CONFIDENCE_LEVELS = {"NO_CONFIDENCE": 0, "LOW": 1, "MEDIUM": 2, "RESERVED": 2, "HIGH": 3}
+#: Shorter names that predicates may use.
+CONFIDENCE_ALIASES = {"shadow": "cloud_shadow", "NONE": "NO_CONFIDENCE"}
 
 
 @dataclass(frozen=True)
@@ -64,7 +67,8 @@ def confidence(x: Column) -> dict[str, Column]:
 
 def confidence_hit(x: Column, predicate: str) -> Column:
     """A predicate such as ``cloud == MEDIUM or shadow >= LOW`` over the confidence fields."""
-    return to_column(predicate, confidence(x) | {k: F.lit(v) for k, v in CONFIDENCE_LEVELS.items()})
+    names = confidence(x) | {k: F.lit(v) for k, v in CONFIDENCE_LEVELS.items()}
+    return to_column(predicate, names | {k: names[of] for k, of in CONFIDENCE_ALIASES.items()})
 
 
 def qa_usable(x: Column, mask: Mask, oli: Column | None = None) -> Column:
@@ -92,8 +96,28 @@ def class_usable(q: Column, v: Column, mask: Mask, radsat: Column | None = None)
     return F.coalesce(q.isin(*mask.clear), F.lit(False)) | ~F.coalesce(bad, F.lit(True))
 
 
-def usable(q: Column, v: Column, mask: Mask, radsat: Column | None = None) -> Column:
+def literal_mask(text: str) -> dict:
+    """A mask document given on a command line: JSON, never executed."""
+    found = json.loads(text.replace("'", '"').replace("True", "true").replace("False", "false").replace("None", "null"))
+    if not isinstance(found, dict):
+        raise ValueError("a mask is a document of names and values")
+    return found
+
+
+def clear_and_not(q: Column, mask: Mask, oli: Column | None = None) -> tuple[Column, Column]:
+    """(clear, not clear) of a quality value for scene statistics; a null value is neither.
+
+    Class mode: the listed classes. Bit mode: usable words are clear and all others are not.
+    """
+    if mask.bits:
+        good = qa_usable(q, mask, oli)
+        return good & q.isNotNull(), q.isNotNull() & ~good
+    no = F.lit(False)
+    return (q.isin(*mask.clear) if mask.clear else no), (q.isin(*mask.not_clear) if mask.not_clear else no)
+
+
+def usable(q: Column, v: Column, mask: Mask, radsat: Column | None = None, oli: Column | None = None) -> Column:
     if not mask.bits:
         return class_usable(q, v, mask, radsat)
-    ok = qa_usable(q, mask) & v.isNotNull()
+    ok = qa_usable(q, mask, oli) & v.isNotNull()
     return ok if radsat is None else ok & ~F.coalesce(saturated(radsat), F.lit(False))

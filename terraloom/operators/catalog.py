@@ -69,16 +69,29 @@ def list_cubes(cubes: DataFrame, name: str | None = None, kind: str | None = Non
     return out.orderBy("id")
 
 
-def lineage(edges: DataFrame, start: DataFrame, rounds: int = 20) -> DataFrame:
-    """(id, ancestor, depth) up the edges (id, source), by a recursive query; cycles end after ``rounds``."""
+def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(id, ancestor, depth) up the edges (id, source), each ancestor once at its least depth, however deep; cycles end by themselves.
+
+    Ancestors are doubled round by round (ancestors of ancestors), so a chain of n takes log n rounds. Edges are metadata.
+    """
     spark = edges.sparkSession
-    return spark.sql(
-        f"""WITH RECURSIVE up(id, ancestor, depth) MAX RECURSION LEVEL {rounds + 2} AS (
-            SELECT id, id AS ancestor, 0 AS depth FROM {{start}}
-            UNION ALL SELECT up.id, e.source, up.depth + 1 FROM up JOIN {{edges}} e ON up.ancestor = e.id WHERE up.depth < {rounds})
-            SELECT id, ancestor, depth FROM up WHERE depth > 0""",
-        start=start, edges=edges,
-    )
+    steps = edges.select("id", F.col("source").alias("ancestor")).where("id IS NOT NULL AND ancestor IS NOT NULL").distinct().withColumn("depth", F.lit(1))
+    known = steps.checkpoint() if spark.sparkContext.getCheckpointDir() else steps.cache()
+    n, total = -1, known.agg(F.count("*"), F.sum("depth")).first()
+    while total != n:
+        n = total
+        further = known.alias("a").join(known.alias("b"), F.col("a.ancestor") == F.col("b.id")).select("a.id", "b.ancestor", (F.col("a.depth") + F.col("b.depth")).alias("depth"))
+        then = known.union(further).groupBy("id", "ancestor").agg(F.min("depth").alias("depth"))
+        then = then.checkpoint() if spark.sparkContext.getCheckpointDir() else then.cache()
+        total = then.agg(F.count("*"), F.sum("depth")).first()
+        known = then
+    return known.join(start.select("id").distinct(), "id")
+
+
+def first_ancestor(ancestors: DataFrame, cubes: DataFrame, function: str) -> DataFrame:
+    """(id, ancestor): the nearest ancestor whose cube (id, function) has the function; ties to the lesser id."""
+    of = cubes.where(F.col("function") == function).select(F.col("id").alias("ancestor"))
+    return ancestors.join(of, "ancestor").groupBy("id").agg(F.min_by("ancestor", F.struct("depth", "ancestor")).alias("ancestor"))
 
 
 def one_per_tile(items: DataFrame, keep: list[str], order: str = "id") -> DataFrame:
@@ -161,3 +174,47 @@ def geojson(tile: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column
     ring = F.array(*[F.array(x, y) for x, y in ((xmin, ymax), (xmax, ymax), (xmax, ymin), (xmin, ymin), (xmin, ymax))])
     shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
     return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(tile.alias("name")).alias("properties"), shape.alias("geometry")))
+
+
+def items_with_tiles(items: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Items with the columns of their tile; items of tiles that the grid lacks are left out."""
+    return items.join(tiles, "tile")
+
+
+def grids_with_reference(grids: DataFrame, references: DataFrame) -> DataFrame:
+    """Grids (name, srid) with the projection text of their reference (srid, proj)."""
+    return grids.join(references, "srid")
+
+
+def cube_meta(cubes: DataFrame, parameters: DataFrame, activities: DataFrame) -> DataFrame:
+    """Cubes with their stored parameters and, sorted, the data sets that their activities used."""
+    used = activities.groupBy("cube").agg(F.sort_array(F.collect_set("dataset")).alias("datasets"))
+    out = cubes.join(parameters, "cube", "left").join(used, "cube", "left")
+    return out.withColumn("datasets", F.coalesce("datasets", F.array().cast("array<string>")))
+
+
+def rfc3339(at: Column) -> Column:
+    """A UTC timestamp as text."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def merged_assets(current: DataFrame, news: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """Items of both: one row a key with the assets (a map) of both, the later version's winning, and its other columns."""
+    both = current.unionByName(news)
+    rest = [c for c in both.columns if c not in (*keys, "assets", version)]
+    entries = both.select(*keys, version, F.explode("assets").alias("asset", "link")).groupBy(*keys, "asset").agg(F.max_by("link", version).alias("link"))
+    maps = entries.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("asset", "link")))).alias("assets"))
+    heads = both.groupBy(*keys).agg(F.max(version).alias(version), *[F.max_by(c, version).alias(c) for c in rest])
+    return heads.join(maps, keys, "left")
+
+
+def normalized_scenes(items: DataFrame, bands: DataFrame) -> DataFrame:
+    """Search results (scene, dataset, datetime, assets) as (scene, dataset, date, band, link): the date is the timestamp text's
+    first ten characters; only the assets that ``bands`` (asset, band) names."""
+    rows = items.select("scene", "dataset", F.substring("datetime", 1, 10).cast("date").alias("date"), F.explode("assets").alias("asset", "link"))
+    return rows.join(bands, "asset").select("scene", "dataset", "date", "band", "link")
+
+
+def legacy_box(geometry_box: tuple, intersects: bool) -> dict:
+    """The search of a catalogue that may lack the intersection test: such a catalogue is asked by box and without a query."""
+    return {"intersects": geometry_box} if intersects else {"bbox": geometry_box}

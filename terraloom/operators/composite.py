@@ -53,6 +53,58 @@ def best_pixel(obs: DataFrame, keys: list[str], value: str = "v", date: str = "d
     return out.select(*keys, F.col("t.v").alias(value), day.alias("provenance"), "clearob", "totalob", *more)
 
 
+def best_pixels(obs: DataFrame, keys: list[str], bands: list[str], usable: dict[str, Column], quality: str, date: str = "date", rank: str = "rank", source: str | None = None) -> DataFrame:
+    """``best_pixel`` of several bands in one pass: (keys, bands, provenance, clearob, totalob[, datasource]).
+
+    Each band starts at its own first usable rank; provenance, counts and source are those of ``quality``. One shuffle whatever
+    the number of bands.
+    """
+    w = Window.partitionBy(*keys)
+    rows = obs.withColumns({f"__u_{b}": usable[b] for b in bands})
+    rows = rows.withColumns({f"__f_{b}": F.min(F.when(F.col(f"__u_{b}"), F.struct(F.col(rank).alias("r"), F.col(date).alias("d")))).over(w) for b in bands})
+    own = [F.col(date).alias("d"), *([F.col(source).alias("s")] if source else [])]
+    took = [
+        F.min_by(F.struct(F.col(b).alias("v"), *own), F.when(F.col(b).isNotNull() & (F.col(rank) >= F.coalesce(F.col(f"__f_{b}.r"), F.lit(1))), F.col(rank))).alias(f"__t_{b}")
+        for b in bands
+    ]
+    out = rows.groupBy(*keys).agg(*took, F.max(f"__f_{quality}").alias("__f"), F.count_if(F.col(f"__u_{quality}")).alias("clearob"), F.count_if(F.col(quality).isNotNull()).alias("totalob"))
+    day = F.coalesce(F.dayofyear(f"__t_{quality}.d"), F.dayofyear("__f.d"), F.lit(-1))
+    more = [F.coalesce(F.col(f"__t_{quality}.s"), F.lit(255)).alias("datasource")] if source else []
+    return out.select(*keys, *[F.col(f"__t_{b}.v").alias(b) for b in bands], day.alias("provenance"), "clearob", "totalob", *more)
+
+
+def medians(obs: DataFrame, keys: list[str], bands: list[str], usable: dict[str, Column], quality: str) -> DataFrame:
+    """``median`` of several bands in one pass."""
+    mids = [F.median(F.when(usable[b], F.col(b))).cast("long").alias(b) for b in bands]
+    return obs.groupBy(*keys).agg(*mids, F.count_if(usable[quality]).alias("clearob"), F.count_if(F.col(quality).isNotNull()).alias("totalob"))
+
+
+def best_scene(stats: DataFrame, group: list[str], date_col: str = "date") -> DataFrame:
+    """(group, best_date): the date with the greatest efficacy, ties to the earlier."""
+    return stats.groupBy(*group).agg(F.max_by(date_col, F.struct("efficacy", -F.unix_date(date_col))).alias("best_date"))
+
+
+def match_to_best(pixels: DataFrame, stats: DataFrame, group: list[str], cell: list[str], bands: list[str], date_col: str = "date") -> DataFrame:
+    """``pixels`` (group, date, cell, bands) with the bands of every date matched to those of the group's best date.
+
+    ``stats`` has (group, date, efficacy). The best date itself stays; each band is matched by itself (``match_histograms``).
+    """
+    best = best_scene(stats, group, date_col)
+    rows = pixels.join(best, group)
+    reference = rows.where(F.col(date_col) == F.col("best_date")).select(*group, *cell, *[F.col(b).alias(f"__r_{b}") for b in bands])
+    out = rows.join(reference, [*group, *cell], "left")
+    for b in bands:
+        out = match_histograms(out, [*group, date_col], b, f"__r_{b}").withColumn(b, F.when(F.col(date_col) == F.col("best_date"), F.col(b).cast("long")).otherwise(F.col("matched"))).drop("matched")
+    return out.select(*pixels.columns)
+
+
+def composite_stats(composed: DataFrame, keys: list[str], clear: Column, not_clear: Column) -> DataFrame:
+    """(keys, efficacy, cloud) of composites; the cloud share is 0 where nothing is classified."""
+    known = F.count_if(clear | not_clear).alias("__known")
+    n = composed.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(clear).alias("c"), F.count_if(not_clear).alias("u"), known)
+    return n.select(*keys, ratio(F.col("c"), F.col("n"), 0.0).alias("efficacy"), ratio(F.col("u"), F.col("__known"), 0.0).alias("cloud"))
+
+
 def best_pixel_fast(obs: DataFrame, keys: list[str], value: str = "v", date: str = "date", rank: str = "rank", usable: str = "usable") -> DataFrame:
     """(keys, value, provenance) by one hash aggregation; the same where every usable pixel holds data, as after quality repair."""
     best = F.min_by(F.struct(F.col(value).alias("v"), F.col(date).alias("d")), F.when(F.col(value).isNotNull(), F.struct(~F.col(usable), F.col(rank))))

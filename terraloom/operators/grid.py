@@ -32,12 +32,41 @@ class Grid:
     size: tuple[float, float]
 
 
-def hierarchy(names: list[str], shape: tuple[float, float], factors: list[tuple[int, int]], box: tuple[float, float, float, float]) -> list[Grid]:
-    """Grids of shape x factor that share an origin: the box's upper left corner moved out to whole tiles of the first grid."""
+def hierarchy(names: list[str], shape: tuple[float, float], factors: list[tuple[int, int]], box: tuple[float, float, float, float], centre: tuple[float, float] = (0.0, 0.0)) -> list[Grid]:
+    """Grids of shape x factor that share an origin.
+
+    A tile of the first grid is centred at ``centre`` (the meridian's point in the projection); whole tiles are counted from it
+    to the left edge of the projected ``box`` and, with one more, to its top.
+    """
     w, h = shape[0] * factors[0][0], shape[1] * factors[0][1]
-    left = math.floor(box[0] / w) * w
-    top = (math.ceil(box[3] / h) + 1) * h
-    return [Grid(n, (left, top), (shape[0] * fx, shape[1] * fy)) for n, (fx, fy) in zip(names, factors, strict=True)]
+    left, top = centre[0] - w / 2, centre[1] + h / 2
+    origin = (left - math.ceil(abs(left - box[0]) / w) * w, top + (math.ceil(abs(top - box[3]) / h) + 1) * h)
+    return [Grid(n, origin, (shape[0] * fx, shape[1] * fy)) for n, (fx, fy) in zip(names, factors, strict=True)]
+
+
+def project(kind: str, lon: Column, lat: Column, meridian: float) -> tuple[Column, Column]:
+    if kind == "longlat":
+        return lon, lat
+    return albers(lon, lat, meridian) if kind == "aea" else sinusoidal(lon, lat, meridian)
+
+
+def projected(spark: SparkSession, kind: str, meridian: float, box: tuple[float, float, float, float]) -> tuple[tuple[float, float], tuple[float, float, float, float]]:
+    """(centre, envelope) for ``hierarchy``: the meridian's point at 12 degrees south and the box's corners in the projection."""
+    corners = [(0, float(meridian), -12.0), *((1, float(x), float(y)) for x in (box[0], box[2]) for y in (box[1], box[3]))]
+    rows = spark.createDataFrame(corners, "corner int, lon double, lat double")
+    x, y = project(kind, F.col("lon"), F.col("lat"), meridian)
+    got = rows.select("corner", x.alias("x"), y.alias("y")).collect()
+    xs, ys = [r.x for r in got if r.corner], [r.y for r in got if r.corner]
+    return next((r.x, r.y) for r in got if not r.corner), (min(xs), min(ys), max(xs), max(ys))
+
+
+def raster_extent(rasters: DataFrame, kind: str, meridian: float) -> DataFrame:
+    """(columns of ``rasters``, west, south, east, north): projected bounds (xmin, ymin, xmax, ymax) as degrees, by their corners."""
+    inverse = {"aea": albers_inverse, "sinu": sinusoidal_inverse}.get(kind)
+    at = [(F.col(x), F.col(y)) for x in ("xmin", "xmax") for y in ("ymin", "ymax")]
+    ends = [inverse(x, y, meridian) if inverse else (x, y) for x, y in at]
+    lon, lat = [e[0] for e in ends], [e[1] for e in ends]
+    return rasters.withColumns({"west": F.least(*lon), "south": F.least(*lat), "east": F.greatest(*lon), "north": F.greatest(*lat)})
 
 
 def projection_string(kind: str, meridian: float) -> str:

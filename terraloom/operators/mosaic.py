@@ -106,3 +106,56 @@ def inconsistent_bands(scenes: DataFrame, keys: list[str], bands: list[str]) ->
     """Keys in which some but not all of ``bands`` have scenes; a build stops if there are any."""
     seen = scenes.where(F.col("band").isin(bands)).groupBy(*keys).agg(F.count_distinct("band").alias("n_bands"))
     return seen.where(F.col("n_bands") < len(set(bands)))
+
+
+def fixed_shape(pixels: DataFrame, rows: int, cols: int) -> DataFrame:
+    """The raster read as it is, cut to a fixed shape, without reprojection."""
+    return pixels.where((F.col("row") < rows) & (F.col("col") < cols))
+
+
+def reproject_nearest(source: DataFrame, targets: DataFrame, keys: list[str], source_at: tuple[float, float, float, float], target_at: tuple[float, float, float, float], shape: tuple[int, int], to_source=None) -> DataFrame:
+    """(keys, row, col, v) of ``targets`` (keys) on another grid: the source pixel under each target centre, null where there is none.
+
+    A grid is (left, top, pixel width, pixel height). ``to_source`` maps the columns (x, y) of target centres to the source's
+    coordinates, by default the same. Each target pixel works out its source pixel, and one join by key and index fetches it.
+    """
+    (sx, sy, sw, sh), (tx, ty, tw, th) = source_at, target_at
+    cells = targets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(shape[0] - 1))).alias("row")).select("*", F.explode(F.sequence(F.lit(0), F.lit(shape[1] - 1))).alias("col"))
+    x, y = F.lit(tx) + (F.col("col") + 0.5) * tw, F.lit(ty) - (F.col("row") + 0.5) * th
+    x, y = to_source(x, y) if to_source else (x, y)
+    cells = cells.withColumn("__row", F.floor((F.lit(sy) - y) / sh).cast("int")).withColumn("__col", F.floor((x - F.lit(sx)) / sw).cast("int"))
+    held = source.select(*keys, F.col("row").cast("int").alias("__row"), F.col("col").cast("int").alias("__col"), "v")
+    return cells.join(held, [*keys, "__row", "__col"], "left").select(*keys, "row", "col", "v")
+
+
+def source_nodata(dataset: Column, data_type: Column, band_nodata: Column, asset_nodata: Column, file_nodata: Column, mask_nodata: Column, is_quality: Column) -> Column:
+    """The nodata value of an asset: its file's; else the mask's for quality; else the asset's or the band's.
+
+    Files of LC8SR that aren't int16 have 0, and those of CBERS the band's.
+    """
+    own = F.coalesce(F.when(is_quality, mask_nodata), asset_nodata, band_nodata)
+    named = F.when(dataset.startswith("LC8SR") & (data_type != "int16"), F.lit(0.0)).when(dataset.startswith("CBERS"), band_nodata)
+    return F.coalesce(named, file_nodata, own)
+
+
+def oli_sources(platforms: DataFrame) -> DataFrame:
+    """(source, oli) of a combined cube's platforms (source, platform): Landsat versions above 7 carry the newer sensor."""
+    version = F.regexp_extract(F.lower("platform"), r"^landsat-?(\d+)$", 1)
+    return platforms.select("source", F.when(version != "", version.cast("int") > 7).otherwise(F.lit(False)).alias("oli"))
+
+
+def whole_periods(scenes: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """The scenes of the keys in which every band of ``bands`` has one; a cube of single dates skips the others."""
+    whole = scenes.where(F.col("band").isin(bands)).groupBy(*keys).agg(F.count_distinct("band").alias("n")).where(F.col("n") == len(set(bands)))
+    return scenes.join(whole.select(*keys), keys, "left_semi")
+
+
+def attach_saturation(pixels: DataFrame, keys: list[str], band: str) -> DataFrame:
+    """Rows of all other bands with ``radsat``, the value of the saturation band at the same pixel and date.
+
+    ``pixels`` has (keys, band, v). A date without any saturation row is an error when it is read.
+    """
+    radsat = pixels.where(F.col("band") == band).select(*keys, F.col("v").alias("radsat"), F.lit(True).alias("__held"))
+    out = pixels.where(F.col("band") != band).join(radsat, keys, "left")
+    held = F.when(F.col("__held"), F.col("radsat")).otherwise(F.raise_error(F.lit(f"missing {band}")).cast(pixels.schema["v"].dataType))
+    return out.withColumn("radsat", held).drop("__held")

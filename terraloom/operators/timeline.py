@@ -109,3 +109,17 @@ def missing_instants(known: DataFrame, periods: DataFrame, group_col: str = "til
     listed = starts.groupBy(F.lit(1).alias("__p")).agg(F.sort_array(F.collect_set(start_col)).alias("__all"))
     wanted = groups.join(listed, "__p").select(group_col, F.explode("__all").alias(start_col))
     return wanted.join(known.select(group_col, start_col).distinct(), [group_col, start_col], "left_anti")
+
+
+def missing_periods(known: DataFrame, periods: DataFrame) -> DataFrame:
+    """(tile, period_start, period_end) to run again: each tile's periods of the timeline for which ``known`` has no item."""
+    return missing_instants(known, periods).join(periods, "period_start").select("tile", "period_start", "period_end")
+
+
+#: The range of a timeline that is asked for without one.
+FIRST, LAST = "2016-01-01", "2019-12-31"
+
+
+def asked_range(start: str | None = None, end: str | None = None) -> tuple[dt.date, dt.date]:
+    """The dates of a request: the first ten characters count; what is left out has a default."""
+    return dt.date.fromisoformat((start or FIRST)[:10]), dt.date.fromisoformat((end or LAST)[:10])

@@ -40,3 +40,19 @@ def rgb_rows(pixels: DataFrame, keys: list[str], bands: tuple[str, str, str], lo
 def export_scene_list(scenes: DataFrame, root: str) -> None:
     """JSON lines by tile and period."""
     scenes.write.mode("overwrite").partitionBy("tile", "period_start").json(root)
+
+
+def raster_guard(pixels: DataFrame, keys: list[str], none: float = -1) -> DataFrame:
+    """(keys, least, most, valid) of the valid pixels; ``none`` where there is none."""
+    v = F.col("v")
+    return pixels.groupBy(*keys).agg(F.coalesce(F.min(v), F.lit(none)).alias("least"), F.coalesce(F.max(v), F.lit(none)).alias("most"), F.count(v).alias("valid"))
+
+
+def readable(files: DataFrame, path_col: str = "path") -> DataFrame:
+    """``files`` plus ``readable``: whether the file's Parquet magic stands at both ends. The contents are not parsed.
+
+    ``files`` comes from Spark's ``binaryFile`` source with its content, so any store works.
+    """
+    magic = F.lit(b"PAR1")
+    whole = (F.length("content") >= 12) & (F.substring("content", 1, 4) == magic) & (F.expr("substring(content, length(content) - 3, 4)") == magic)
+    return files.select(F.col(path_col).alias("path"), F.coalesce(whole, F.lit(False)).alias("readable"))

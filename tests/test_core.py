@@ -143,7 +143,8 @@ def test_projections_round_trip(spark):
 
 def test_grid_and_hull(spark):
     g = grid.hierarchy(["a", "b"], (10.0, 10.0), [(2, 2), (1, 1)], (-5.0, -5.0, 30.0, 33.0))
-    assert g[0].origin == (-20.0, 60.0) and g[1].size == (10.0, 10.0)
+    # A tile of 20 x 20 is centred at (0, 0); one tile to the left holds -5, two and one more upwards hold 33.
+    assert g[0].origin == (-30.0, 70.0) and g[1].size == (10.0, 10.0)
     df = spark.createDataFrame([(1, r, c) for r in range(4) for c in range(5)], "k int, row int, col int")
     assert grid.convex_hull(df, ["k"]).first().hull == [[0.0, 0.0], [4.0, 0.0], [4.0, 3.0], [0.0, 3.0]]
 
