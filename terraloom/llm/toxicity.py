@@ -14,18 +14,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, widened
+from .common import Scratch, ship, widened
 from .words import EDGES, mix
 
 #: Bits of the slots, lengths of the beginnings, factors of a pair's weight.
 BITS, PREFIXES, FACTORS = 17, (3, 4, 5, 6, 7), 6
 #: Words of at least so many letters are hashed whole by themselves, not letter by letter.
 WHOLE = 11
-#: Documented bound of the sample: at most this many labelled rows of each class are learnt from.
-SAMPLE_PER_CLASS = 3000
+#: Documented bounds of the sample: at most this many labelled rows of each class are learnt from, and this many bytes of features.
+SAMPLE_PER_CLASS, SAMPLE_BYTES = 3000, 256 << 20
 EPOCHS, RATE, DECAY, SEED = 3, 0.12, 2e-5, 20240
 #: Toxic rows that a slot needs, and the share of toxic rows that the cut assumes.
 MIN_ROWS, USUAL_SHARE = 3, 0.1
@@ -165,21 +165,22 @@ def train(rows: list[Row], epochs: int = EPOCHS, rate: float = RATE, decay: floa
 
 
 def held_out(key: Column) -> Column:
-    """True for the fifth of the rows that is never learnt from; null for a null key."""
-    return F.crc32(key.cast("string").cast("binary")) % 5 == 0
+    """True for the fifth of the rows that is never learnt from; false for a null key, which is never learnt from either."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """(id, label, text) of at most ``per_class`` ids of each label, the least by a hash of the id; held-out ids never.
 
-    An id whose rows in ``labels`` disagree counts as toxic; null ids and labels are left out. The ids are broadcast: at
-    most twice ``per_class`` rows.
+    An id whose rows in ``labels`` disagree counts as toxic; null ids and labels are left out. Of several rows of an id the
+    least text is taken. The ids are broadcast: at most twice ``per_class`` rows.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("__id")).agg((F.max(label_col) > 0).cast("int").alias("__label"))
     first = [known.where(F.col("__label") == y).orderBy(F.xxhash64("__id"), "__id").limit(per_class) for y in (0, 1)]
     chosen = first[0].unionByName(first[1])
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")
+    return rows.groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,10 +196,20 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> Machine:
-    """Learn a machine. Only features of the bounded sample come to the driver. Without both labels it scores all rows alike."""
+    """Learn a machine. Without both labels it scores all rows alike.
+
+    Only features of the sample come to the driver, SAMPLE_BYTES of them at most: rows are taken in order of the hash of their
+    id until these are full.
+    """
     ship(docs.sparkSession)
+    store = Scratch(docs.sparkSession)
     sample = labelled_sample(docs, labels, id_col, label_col, text_col, per_class)
-    got = sample.mapInArrow(_featured, f"id {sample.schema['__id'].dataType.simpleString()}, label int, slots binary, vals binary").collect()
+    made = store.save(sample.mapInArrow(_featured, f"id {sample.schema['__id'].dataType.simpleString()}, label int, slots binary, vals binary"))
+    upto = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = made.select("id", (F.length("slots") + F.length("vals")).cast("long").alias("n"))  # at most twice per_class rows
+    taken = sizes.withColumn("n", F.sum("n").over(upto)).where(F.col("n") <= SAMPLE_BYTES).select("id")
+    got = made.join(F.broadcast(taken), "id").collect()
+    store.drop(made)
     got.sort(key=lambda r: (str(r.id), bytes(r.slots), bytes(r.vals)))
     return train([(np.frombuffer(r.slots, np.int32), np.frombuffer(r.vals, np.float32), r.label) for r in got])
 
