@@ -78,11 +78,9 @@ SELECT doc_id, license, count(DISTINCT uid) AS n_units, max(dice) AS dice, min(u
 
 def url_filter_sql() -> str:
     rules = ", ".join(f"({_quoted(r.host)}, {_quoted(r.path)}, {_quoted(r.verdict)})" for r in url_filter.RULES)
-    if url_filter.MAX_TOKENS != 2:
-        raise ValueError("the SQL counts token sets of at most two")
     toks = f"list_distinct(list_filter(regexp_split_to_array(translate(regexp_replace(coalesce(url, ''), '^.*?://', ''), {_UP}, {_LOW}), '[^a-z0-9]+'), lambda t: regexp_matches(t, '[a-z]')))"
     return f"""
-WITH p AS (SELECT row_number() OVER () AS pid, page_id, url, instr(url, '://') AS sep FROM pages),
+WITH RECURSIVE p AS (SELECT row_number() OVER () AS pid, page_id, url, instr(url, '://') AS sep FROM pages),
 h AS (SELECT pid, page_id, url, CASE WHEN sep > 0 THEN translate(regexp_extract(substr(url, sep + 3), '^[^/?#]*', 0), {_UP}, {_LOW}) ELSE '' END AS host,
         CASE WHEN sep > 0 THEN regexp_extract(substr(url, sep + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path, {toks} AS toks FROM p),
 r(rhost, rpath, said) AS (VALUES {rules}),
@@ -90,11 +88,16 @@ fit AS (SELECT pid, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg
         FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY pid),
 lab AS (SELECT doc_id, coalesce(min(quality) = 0, false) OR coalesce(max(toxic) = 1, false) AS bad FROM labels GROUP BY doc_id),
 tr AS (SELECT pid, toks, bad FROM h JOIN lab ON doc_id = TRY_CAST(nullif(regexp_extract(path, '/(\\d{{1,18}})', 1), '') AS BIGINT) WHERE url IS NOT NULL),
-one AS (SELECT pid, bad, unnest(toks) AS t FROM tr),
-sets AS (SELECT pid, bad, t AS a, NULL AS b FROM one UNION ALL SELECT x.pid, x.bad, x.t, y.t FROM one x JOIN one y ON x.pid = y.pid AND x.t < y.t),
-mined AS (SELECT a, b FROM sets GROUP BY a, b
-          HAVING count(*) FILTER (WHERE bad) >= ceil({url_filter.MIN_SUPPORT} * (SELECT count(*) FROM tr)) AND count(*) FILTER (WHERE bad)::DOUBLE / count(*) >= {url_filter.MIN_CONFIDENCE}),
-hit AS (SELECT pid, min(CASE WHEN b IS NULL THEN a ELSE a || ' ' || b END) AS mined_rule FROM h JOIN mined ON list_contains(toks, a) AND (b IS NULL OR list_contains(toks, b)) WHERE url IS NOT NULL GROUP BY pid)
+lim AS (SELECT greatest(1, ceil({url_filter.MIN_SUPPORT} * count(*) - 1e-9)) AS need FROM tr),
+grown(s, hits, freq) AS (
+  SELECT [t], count(*) FILTER (WHERE bad), count(*) FROM (SELECT bad, unnest(toks) AS t FROM tr) GROUP BY t HAVING count(*) FILTER (WHERE bad) >= (SELECT need FROM lim)
+  UNION ALL
+  SELECT list_append(s, t), count(*) FILTER (WHERE bad), count(*)
+  FROM (SELECT grown.s, tr.bad, unnest(list_filter(tr.toks, lambda x: x > grown.s[-1])) AS t FROM grown JOIN tr ON list_has_all(tr.toks, grown.s) WHERE grown.hits::DOUBLE / grown.freq < {url_filter.MIN_CONFIDENCE})
+  GROUP BY s, t HAVING count(*) FILTER (WHERE bad) >= (SELECT need FROM lim)),
+sets AS (SELECT s FROM grown WHERE hits::DOUBLE / freq >= {url_filter.MIN_CONFIDENCE}),
+mined AS (SELECT s FROM sets a WHERE NOT EXISTS (SELECT 1 FROM sets b WHERE len(b.s) < len(a.s) AND list_has_all(a.s, b.s))),
+hit AS (SELECT pid, min(array_to_string(s, ' ')) AS mined_rule FROM h JOIN mined ON list_has_all(toks, s) WHERE url IS NOT NULL GROUP BY pid)
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN mined_rule IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, mined_rule
 FROM h LEFT JOIN fit USING (pid) LEFT JOIN hit USING (pid)"""
 

@@ -6,17 +6,17 @@ inverted index from a rule's rarest token.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, let
 
-#: MAX_TOKENS is what the registered query's SQL counts; the operator itself has no such limit.
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.8, 2
-BAD, GOOD = "!bad", "!good"
+MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.8
+BAD = "!bad"
 
 
 @dataclass(frozen=True)
@@ -63,26 +63,62 @@ def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> tuple[Co
     return pick(lambda r: r.text), pick(lambda r: r.verdict)
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None) -> DataFrame:
-    """Token sets that imply the bad label: ``tokens``, ``confidence``, ``support``, ``anchor``.
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The least token sets that imply the bad label: ``tokens``, ``confidence``, ``support``, ``anchor``.
 
-    All sets with enough support and confidence are rules, unless ``max_tokens`` bounds their size. ``labelled`` has ``url``
-    and ``bad`` (boolean); rows with a null in either are left out. A set with support s holds for at least that share of the
-    rows and a URL of k tokens has fewer than 2^k sets, so there are fewer than 2^k / s rules however large the table is (at
-    most (k + k(k-1)/2) / s for ``max_tokens`` of 2). The anchor is the rule's rarest token (ties: the lesser).
+    A set is a rule if it stands in at least ``min_support`` of all rows with the bad label and at least ``min_confidence`` of
+    the rows that hold it are bad; sets of any size count, but not those that hold a smaller rule, which would add nothing.
+    ``labelled`` has ``url`` and ``bad`` (boolean); rows with a null in either are left out, repeated rows count as often as they
+    stand, other columns aren't read; no rows give no rules. Tokens that too few bad rows hold and tokens that are a rule alone
+    are taken from the rows before FP-growth sees them. At most k / ``min_support`` tokens are left for rows of k tokens, and
+    fewer than 2^k / ``min_support`` sets, however large the table is. The anchor is a rule's rarest token (ties: the lesser).
     """
-    rows = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull())
-    items = rows.select(F.concat(url_tokens(F.col("url")), F.array(F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD)))).alias("items"))
-    if items.isEmpty():
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double, anchor string")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    found = model.associationRules.where(F.element_at("consequent", 1) == BAD)
-    if max_tokens is not None:
-        found = found.where(F.size("antecedent") <= max_tokens)
-    found = found.where(~F.array_contains("antecedent", GOOD)).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
-    ranked = found.withColumn("token", F.explode("tokens")).join(F.broadcast(single), "token")
-    return ranked.groupBy("tokens", "confidence", "support").agg(F.min(F.struct("freq", "token"))["token"].alias("anchor"))
+    spark = labelled.sparkSession
+    none = spark.createDataFrame([], "tokens array<string>, confidence double, support double, anchor string")
+    rows = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull()).select(url_tokens(F.col("url")).alias("all"), "bad")
+    if not (n := rows.count()):
+        return none
+    need = math.ceil(min_support * n - 1e-9)
+    per = rows.select(F.explode("all").alias("token"), "bad").groupBy("token").agg(F.count("*").alias("freq"), F.count_if("bad").alias("hits"))
+    known = per.where(F.col("hits") >= max(1, need)).collect()
+    if not known:
+        return none
+    freq = {r.token: r.freq for r in known}
+    alone = [(r.token, r.freq, r.hits) for r in known if r.hits / r.freq >= min_confidence]
+    ones = spark.createDataFrame([([t], h / f, h / n, t) for t, f, h in alone], none.schema)
+    rest = sorted(freq.keys() - {t for t, _, _ in alone})
+    if not rest:
+        return ones
+    left = F.array_intersect("all", F.split(F.lit(" ".join(rest)), " "))
+    items = rows.select(F.concat(left, F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    sets = FPGrowth(itemsCol="items", minSupport=max(1, need) / n * (1 - 1e-9)).fit(items).freqItemsets
+    sets = sets.select(F.sort_array(F.array_remove("items", BAD)).alias("tokens"), F.array_contains("items", BAD).alias("bad"), "freq").where(F.size("tokens") > 1)
+    both = sets.groupBy("tokens").agg(F.max(F.when(F.col("bad"), F.col("freq"))).alias("hits"), F.max(F.when(~F.col("bad"), F.col("freq"))).alias("freq"))
+    rank = F.split(F.lit(" ".join(sorted(rest, key=lambda t: (freq[t], t)))), " ")
+    found = both.where(F.col("hits") / F.col("freq") >= min_confidence)
+    found = found.select("tokens", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.lit(n)).alias("support"), F.array_intersect(rank, F.col("tokens"))[0].alias("anchor"))
+    lesser = found.select(F.col("tokens").alias("__in"), F.col("anchor").alias("__at"))
+    larger = found.select("tokens", F.explode("tokens").alias("__at")).join(lesser, "__at").where((F.size("__in") < F.size("tokens")) & (F.size(F.array_except("__in", "tokens")) == 0))
+    return ones.union(found.join(larger.select("tokens").distinct(), "tokens", "left_anti"))
+
+
+def _by_bucket(mined: DataFrame, n: int) -> Column:
+    """The mined rules as a literal: bucket of the anchor's hash -> rules by ``;``, tokens by blanks. A lookup is one array access."""
+    buckets = mined.groupBy((F.crc32(F.col("anchor").cast("binary")) % n).alias("at")).agg(F.array_join(F.collect_list(F.array_join("tokens", " ")), ";").alias("rules"))
+    held = {r.at: r.rules for r in buckets.collect()}
+    return F.split(F.lit("\n".join(held.get(k, "") for k in range(n))), "\n", -1)
+
+
+def mined_rule(tokens: Column, mined: DataFrame) -> Column:
+    """The least mined rule, joined by blanks, whose tokens are all among ``tokens``; else null."""
+    n = 1 << max(0, mined.count() - 1).bit_length()
+    buckets = _by_bucket(mined, n)
+
+    def least(all_: Column) -> Column:
+        listed = F.flatten(F.transform(all_, lambda t: F.split(F.get(buckets, (F.crc32(t.cast("binary")) % n).cast("int")), ";")))
+        return F.array_min(F.filter(listed, lambda r: (r != "") & (F.size(F.array_except(F.split(r, " "), all_)) == 0)))
+
+    return let(tokens, least)
 
 
 def filter_urls(pages: DataFrame, mined: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: str = "url") -> DataFrame:
@@ -91,19 +127,16 @@ def filter_urls(pages: DataFrame, mined: DataFrame, rules: tuple[UrlRule, ...] =
     The longest given rule decides; else a URL that holds all tokens of a mined rule is blocked and any other is
     allowed. ``mined_rule`` is the least such token set joined by blanks, else null. Null URLs and URLs without ``://``
     have an empty host and path and fit no given rule; a null URL is allowed. Repeated rows are judged alike. Columns of
-    ``pages`` named like a result are replaced. The mined rules are bounded (see ``mine_rules``) and broadcast.
+    ``pages`` named like a result are replaced. The mined rules (see ``mine_rules`` for their bound) go into the plan as one
+    literal, so pages are judged where they are read, without a shuffle, however often a URL is repeated.
     """
     out = ["host", "path", "rule", "verdict", "mined_rule"]
     df = pages.select(*[c for c in pages.columns if c not in out or c == url_col])
-    tokens = df.where(F.col(url_col).isNotNull()).select(F.col(url_col).alias("__url")).distinct().withColumn("__all", url_tokens(F.col("__url")))
-    index = mined.select("tokens", "anchor")
-    hits = tokens.withColumn("anchor", F.explode("__all")).join(F.broadcast(index), "anchor").where(F.size(F.array_except("tokens", "__all")) == 0)
-    hits = hits.groupBy("__url").agg(F.min(F.array_join("tokens", " ")).alias("mined_rule"))
     df = df.withColumn("host", F.coalesce(host_of(F.col(url_col)), F.lit(""))).withColumn("path", F.coalesce(path_of(F.col(url_col)), F.lit("")))
     rule, said = rule_for(F.col("host"), F.col("path"), rules)
-    df = df.withColumn("rule", rule).withColumn("__said", said).join(hits, F.col(url_col) == F.col("__url"), "left")
+    df = df.withColumn("rule", rule).withColumn("__said", said).withColumn("mined_rule", mined_rule(url_tokens(F.col(url_col)), mined))
     verdict = F.coalesce(F.col("__said"), F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
-    return df.withColumn("verdict", verdict).select(*[c for c in df.columns if c not in ("__said", "__url", "mined_rule")], "verdict", "mined_rule")
+    return df.withColumn("verdict", verdict).select(*[c for c in df.columns if c not in ("__said", "mined_rule")], "verdict", "mined_rule")
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
