@@ -61,8 +61,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(COUNTER))
-    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_counts.count_tokens(docs, vocabulary(COUNTER), budget=TOKEN_LIMIT)
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "budget_chars")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from .words import LONGEST, Cache, WordPattern
 
 #: The word pattern of byte-level vocabularies that leave it to the library.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SHORT_FORMS = ("'re", "'ve", "'ll")
+SHORT_FORMS, SPACE = ("'re", "'ve", "'ll"), regex.compile(r"\s+")
 #: States of words' beginnings are kept for lengths that are multiples of this.
 STRIDE = 4
 
@@ -122,6 +122,32 @@ class PrefixCounter:
             at = m.end()
         return n + sum(map(self.totals.__getitem__, self.word.words(text[at:], odd)))
 
+    def chars_within(self, text: str, budget: int) -> int:
+        """The most characters whose prefix has at most ``budget`` tokens, from the counts of words and of one word's prefixes.
+
+        Words behind the first that passes the budget can't fit, as each adds a token; white space at a prefix's end is one word.
+        """
+        if self.find_special and self.find_special.search(text):
+            return int(np.flatnonzero(self.counts(text) <= budget)[-1])
+        base, before, totals, odd = 0, "", self.totals, self.word.odd(text)
+        spans = self.word.spans(text, True) if odd else (m.span() for m in self.word.usual.finditer(text))
+        for start, end in spans:
+            word = text[start:end]
+            n = totals[word]
+            if base + n > budget:
+                break
+            base, before = base + n, word
+        else:
+            return len(text)
+        counts, first = base + self.prefixes[word], start
+        if SPACE.match(word):
+            held = len(before) if SPACE.fullmatch(before) else 0
+            run = SPACE.match(text, start - held)[0]
+            inside = base - (totals[before] if held else 0) + self.prefixes[run]
+            counts, first = np.concatenate((inside, counts[len(run) - held :])), start - held
+        fits = np.flatnonzero(counts <= budget)
+        return first + int(fits[-1]) + 1 if len(fits) else first
+
     def _plain(self, text: str) -> np.ndarray:
         """Counts of the prefixes of 0, 1, ... characters of a text whose special strings count as text."""
         out, base = np.zeros(len(text) + 1, np.int64), 0
@@ -129,7 +155,7 @@ class PrefixCounter:
             out[start + 1 : end + 1] = base + self.prefixes[text[start:end]]
             base = int(out[end])
         # White space at a prefix's end is one word, whatever follows it in the text.
-        for m in regex.finditer(r"\s+", text):
+        for m in SPACE.finditer(text):
             out[m.start() + 1 : m.end() + 1] = out[m.start()] + self.prefixes[m[0]]
         return out
 
@@ -150,19 +176,21 @@ def _loaded(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def count_tokens(docs: DataFrame, path: str, text_col: str = "text", prefixes: bool = False) -> DataFrame:
-    """All rows and columns of ``docs`` plus ``n_bytes`` (UTF-8), ``n_tokens`` and, if asked for, ``prefix_tokens``.
+def count_tokens(docs: DataFrame, path: str, text_col: str = "text", prefixes: bool = False, budget: int | None = None) -> DataFrame:
+    """All rows and columns of ``docs`` plus ``n_bytes`` (UTF-8), ``n_tokens`` and, if asked for, ``budget_chars``, ``prefix_tokens``.
 
-    ``prefix_tokens`` holds the count of every prefix of 0, 1, ... characters of the whole text. ``path`` names a vocabulary
+    ``budget_chars`` is the most characters whose prefix has at most ``budget`` tokens. ``prefix_tokens`` holds the count of every prefix of 0, 1, ... characters of the whole text. ``path`` names a vocabulary
     file that every executor has. Null and empty texts have no bytes and no tokens (and one prefix). Strings of special
     tokens inside a text count as one token. Equal texts have equal results. Columns named like a result are replaced.
     """
     ship(docs.sparkSession)
-    new = ["n_bytes", "n_tokens", *["prefix_tokens"] * prefixes]
+    if budget is not None and budget < 0:
+        raise ValueError("the budget is negative")
+    new = ["n_bytes", "n_tokens", *["budget_chars"] * (budget is not None), *["prefix_tokens"] * prefixes]
     if text_col in new:
         raise ValueError("the text column has the name of a result")
     out = docs.select(*[c for c in docs.columns if c not in new])
-    schema = widened(out.schema, "n_bytes bigint, n_tokens bigint" + ", prefix_tokens array<int>" * prefixes)
+    schema = widened(out.schema, "n_bytes bigint, n_tokens bigint" + ", budget_chars bigint" * (budget is not None) + ", prefix_tokens array<int>" * prefixes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _loaded(path)
@@ -170,11 +198,14 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", prefixes: b
             for b in sliced(whole, text_col, 1_000_000 if prefixes else 16_000_000):
                 texts = [t or "" for t in b.column(text_col).to_pylist()]
                 size = pa.array([len(t.encode("utf-8", "replace")) for t in texts], pa.int64())
-                if not prefixes:
-                    yield pa.RecordBatch.from_arrays([*b.columns, size, pa.array([counter.total(t) for t in texts], pa.int64())], names=schema.names)
-                    continue
-                got = [counter.counts(t).astype(np.int32) for t in texts]
-                yield pa.RecordBatch.from_arrays([*b.columns, size, pa.array([int(g[-1]) for g in got], pa.int64()), pa.array(got, pa.list_(pa.int32()))], names=schema.names)
+                got = [counter.counts(t).astype(np.int32) for t in texts] if prefixes else None
+                n = [int(g[-1]) for g in got] if prefixes else [counter.total(t) for t in texts]
+                more = [pa.array(n, pa.int64())]
+                if budget is not None:
+                    more.append(pa.array([len(t) if k <= budget else counter.chars_within(t, budget) for t, k in zip(texts, n, strict=True)], pa.int64()))
+                if prefixes:
+                    more.append(pa.array(got, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays([*b.columns, size, *more], names=schema.names)
 
     return out.mapInArrow(run, schema)
 

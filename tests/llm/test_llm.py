@@ -42,7 +42,8 @@ OPERATORS = {
     "near": lambda d: near_dedup.classes(d),
     "drop_near": lambda d: near_dedup.drop_near_duplicates(d),
     "bpe": lambda d: bpe.encode(d, WORDS, decoded=True),
-    "tokens": lambda d: token_counts.count_tokens(d, BYTES),
+    "tokens": lambda d: token_counts.count_tokens(d, BYTES, budget=5),
+    "prefixes": lambda d: token_counts.count_tokens(d, BYTES, prefixes=True),
     "leaks": lambda d: decontaminate.find_leaks(d, d.select(F.col("doc_id").alias("item_id"), "text").where("length(text) < 100")),
     "shards": lambda d: sharding.assign_shards(d),
     "toxic": lambda d: toxicity.score(d, toxicity.train([])),
@@ -219,6 +220,8 @@ def test_every_prefix_count_is_the_library(libraries, text):
     text = text.encode("utf-8", "replace").decode()
     want = [len(lib.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
     assert own.counts(text).tolist() == want and own.total(text) == want[-1]
+    for budget in range(want[-1] + 2):
+        assert own.chars_within(text, budget) == max(k for k, n in enumerate(want) if n <= budget)
 
 
 def test_long_fragments_are_the_library(libraries):
