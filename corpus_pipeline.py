@@ -2,7 +2,8 @@
 
 Each stage works on all rows its predecessor kept and its decisions take effect. Between stages the rows are written as
 Parquet to the folder that all executors share and read again, so a lost executor costs no earlier stage. ``text`` and
-``n_chars`` change with line dedup; the other columns pass through. Null texts count as empty and fall to the quality rules.
+``n_chars`` change with line dedup; the other columns of ``documents`` pass through, further ones are left out. Null texts count
+as empty and fall to the quality rules. Rows that repeat an id are judged by their own text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least doc_id, of each class of near copies."""
+    """One row, of the least doc_id, of each class of near copies."""
     return near_dedup.drop_near_duplicates(docs.select(*COLUMNS))
 
 
@@ -53,5 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, docs = Scratch(spark), table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = store.save(stage(spark, docs, sf_dir))
+        then = store.save(stage(spark, docs, sf_dir))
+        store.drop(docs)
+        docs = then
     return docs
