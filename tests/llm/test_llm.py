@@ -480,3 +480,39 @@ def test_pipeline(spark):
     leaky = {k for k in left if any(len(set(grams(t)) & set(sets[k])) >= 0.8 * len(set(grams(t))) for t in items)}
     lib = Tokenizer.from_file(WORDS)
     assert got == {k: lib.encode(texts[k], add_special_tokens=False).ids for k in left - leaky}
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    prose = lambda n: " ".join(rng.choice(["the", "of", "and"]) if rng.random() < 0.3 else "".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    a, b, c = prose(120), prose(120), prose(90)
+    long, item = prose(20_000), " ".join(f"q{k}" for k in range(30)) + ". an answer of six words here"
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b), (3, b), (4, f"{prose(60)} {item} {prose(60)}"), (5, long), (6, None), (7, ""), (None, c), (8, "too short"), (9, c + " more")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, ids string, class_id string, __lost string"
+
+    def run(name, rows):
+        (tmp_path / name).mkdir()
+        spark.createDataFrame([(*r, "en", "s", 0, "x", "y", "z") for r in rows], schema).write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+        return corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+
+    # Both texts of id 1 are the least of their classes and go on; the rows with id 2 and 3 are their copies; 4 leaks; a null id stays.
+    got = run("odd", rows)
+    assert sorted((r.doc_id or 0) for r in got) == [0, 1, 1, 5, 9] and all(r.n_tokens == len(r.ids) > 0 for r in got)
+    assert run("none", []) == []
+
+
+def test_recall_of_near_dedup(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    sets = {r.doc_id: grams(r.text) for r in docs.collect()}
+    by = {}
+    for k, g in sets.items():
+        for x in set(g):
+            by.setdefault(x, []).append(k)
+    pairs = {(x, y) for ids in by.values() for x in ids for y in ids if x < y}
+    alike = [(x, y) for x, y in pairs if brute_pj(sets[x], sets[y]) >= 0.8 - 1e-9]
+    assert len(alike) > 10 and sum(got[x] == got[y] for x, y in alike) >= 0.99 * len(alike)
+
