@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BAND_GROUPS = {0: ("B02", "B03", "B04", "B08"), 1: ("B05", "B06", "B07", "B8A", "B11", "B12", "SCL"), 2: ("B01", "B09", "B10"), 3: ("TCI",)}
 #: A product identifier: mission, level, sensing time, baseline, orbit, tile, discriminator.
 PRODUCT = r"(?i)^(S2[A-Z])_(MSI)(L\d[A-Z])_(\d{8}T\d{6})_(N\d{4})_(R\d{3})_T(\w{5})_(\d{8}T\d{6})(\.SAFE)?$"
+#: The short form of a product identifier: mission, tile, date, number, level.
+SHORT_PRODUCT = r"(?i)^(S2[AB])_T(\d{2}\w\w{2})_(\d{8})_(\d{1,2})_(L[0-2][ABC])$"
 TRUE_WORDS, FALSE_WORDS = ("y", "yes", "t", "true", "on", "1"), ("n", "no", "f", "false", "off", "0")
 
 
@@ -21,6 +23,17 @@ def parse_product(c: Column) -> dict[str, Column]:
     return {n: F.upper(part(k)) for n, k in names.items()}
 
 
+def parse_short_product(c: Column, processing_baseline: Column) -> dict[str, Column]:
+    """Parts of a short product id, whose baseline comes from the catalogue (``04.00``); null where the id has another form.
+
+    An id of this form without a baseline is an error.
+    """
+    fits = c.rlike(SHORT_PRODUCT)
+    part = lambda k: F.when(fits, F.upper(F.regexp_extract(c, SHORT_PRODUCT, k)))
+    known = F.when(processing_baseline.isNull(), F.raise_error(F.concat(F.lit("no processing baseline: "), c)).cast("string")).otherwise(F.concat(F.lit("N"), F.replace(processing_baseline, F.lit("."), F.lit(""))))
+    return {n: part(k) for n, k in {"mission": 1, "tile": 2, "sensed": 3, "number": 4, "level": 5}.items()} | {"baseline": F.when(fits, known)}
+
+
 def baseline(c: Column) -> tuple[Column, Column]:
     """(major, minor) of ``Nxxyy``; null for any other form."""
     ok = c.rlike(r"^N\d{4}$")

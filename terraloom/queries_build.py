@@ -295,6 +295,14 @@ def qa_cirrus_by_sensor(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", masks.qa_usable(F.col("l_suppkey"), mask, F.col("l_linenumber") % 2 == 1).alias("usable"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN 'S2' || CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END END AS mission, CASE WHEN o_orderkey % 4 <> 0 THEN '22KBA' END AS tile,
+  CASE WHEN o_orderkey % 4 <> 0 THEN strftime(o_orderdate, '%Y%m%d') END AS sensed, CASE WHEN o_orderkey % 4 <> 0 THEN 'L2A' END AS level, CASE WHEN o_orderkey % 4 <> 0 THEN 'N0' || (o_custkey % 5)::VARCHAR || '00' END AS baseline FROM orders""")
+def sentinel_short_id(spark, d):
+    name = F.concat(F.lit("S2"), F.when(F.col("o_orderkey") % 2 == 0, "a").otherwise("B"), F.when(F.col("o_orderkey") % 4 == 0, "_22KBA_").otherwise("_T22KBA_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_0_L2A"))
+    parts = identifiers.parse_short_product(name, F.concat(F.lit("0"), (F.col("o_custkey") % 5).cast("string"), F.lit(".00")))
+    return table(spark, d, "orders").select("o_orderkey", *[parts[n].alias(n) for n in ("mission", "tile", "sensed", "level", "baseline")])
+
+
 def _shape() -> str:
     return "SELECT tile, '{\"type\":\"Feature\",\"properties\":{\"name\":\"' || tile || '\"},\"geometry\":{\"type\":\"Polygon\",\"coordinates\":[[' || " + " || ',' || ".join(f"'[' || {x}::VARCHAR || ',' || {y}::VARCHAR || ']'" for x, y in (("xmin", "ymax"), ("xmax", "ymax"), ("xmax", "ymin"), ("xmin", "ymin"), ("xmin", "ymax"))) + " || ']]}}' AS feature"
 

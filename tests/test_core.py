@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from terraloom.functions import expressions, identifiers, masks
 from terraloom.operators import catalog, composite, grid, mosaic, timeline
 from terraloom.plans import cube as plans
-from terraloom.sources import directory, publish
+from terraloom.sources import directory, gridfile, publish
 from terraloom.streaming import recompose
 
 D = dt.date
@@ -221,3 +221,67 @@ def test_catalogue(spark):
     old, new = spark.createDataFrame([(1, 1, "o"), (2, 5, "o")], "k int, at int, s string"), spark.createDataFrame([(1, 1, "n"), (2, 4, "n"), (3, 1, "n")], "k int, at int, s string")
     assert {r.k: r.s for r in catalog.upsert(old, new, ["k"], "at").collect()} == {1: "n", 2: "o", 3: "n"}
     assert {r.k: r.s for r in catalog.get_or_create(old, new, ["k"]).collect()} == {1: "o", 2: "o", 3: "n"}
+    cycle = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(60, 0)], "id int, source int")
+    got = catalog.lineage(cycle, spark.createDataFrame([(0,)], "id int"))
+    assert {(r.ancestor, r.depth) for r in got.collect()} == {(k, k or 61) for k in range(61)}
+    near = catalog.first_ancestor(got, spark.createDataFrame([(7, "IDT"), (3, "LCF"), (9, "IDT")], "id int, function string"), "IDT")
+    assert near.collect()[0][:] == (0, 7)
+
+
+def test_definitions_are_created_and_changed(spark):
+    bands = (plans.Band("nir", "nir"), plans.Band("q", "quality"))
+    c = plans.Cube("c", 1, "g", "LCF", timeline.Schema("continuous", "month"), bands, (), "q", {"mask": {"clear_data": [0], "nodata": 255}, "a": 1})
+    none = spark.createDataFrame([], "name string, version int")
+    cubes, edges = plans.create(c, none)
+    assert {r["name"] for r in cubes.collect()} == {"c", "c_IDT"} and edges.collect()[0][:] == ("c", "c_IDT")
+    assert [r["name"] for r in plans.create(c, spark.createDataFrame([("c_IDT", 1)], none.schema))[0].collect()] == ["c"]
+    with pytest.raises(ValueError):
+        plans.create(c, spark.createDataFrame([("c", 1)], none.schema))
+    assert plans.changed(c, parameters={"a": None, "b": 2}).parameters == {"mask": c.parameters["mask"], "b": 2}
+    for bad in ({"function": "MED"}, {"bands": bands[:1]}):
+        with pytest.raises(ValueError):
+            plans.changed(c, **bad)
+    assert plans.repair_value(["S2-L2A"]) == 1 and plans.repair_value(["LC8SR-1"]) is None
+    assert masks.literal_mask("{'clear_data': [0, 1], 'bits': True}") == {"clear_data": [0, 1], "bits": True}
+    assert timeline.asked_range("2020-01-05T00:00:00Z") == (D(2020, 1, 5), D(2019, 12, 31))
+
+
+def test_bits_rank_scenes_by_usable_words(spark):
+    # The later date has one usable pixel of four, the earlier is clear: it must win.
+    rows = [(1, D(2020, 1, 5), 0, k, 1, 64, 100 + k) for k in range(4)] + [(1, D(2020, 1, 20), 0, k, 2, 64 if not k else 2, 200 + k) for k in range(4)]
+    assets = spark.createDataFrame(rows, "tile int, date date, row int, col int, asset_seq int, q int, nir int").withColumn("source", F.lit(0))
+    mask = {"clear_data": [6], "not_clear_data": [1], "nodata": 1, "bits": True}
+    cube = plans.Cube("c", 1, "g", "LCF", timeline.Schema("continuous", "month"), (plans.Band("nir", "nir"), plans.Band("q", "quality")), (), "q", {"mask": mask})
+    periods = timeline.timeline(spark, cube.schema, D(2020, 1, 1), D(2020, 1, 31))
+    got = plans.build(assets, periods, cube).orderBy("col").collect()
+    assert [r.nir for r in got] == [100, 101, 102, 103] and {r.provenance for r in got} == {5} and [r.clearob for r in got] == [2, 1, 1, 1]
+
+
+def test_alignment_and_files(spark, tmp_path):
+    source = spark.createDataFrame([(1, r, c, 10 * r + c) for r in range(4) for c in range(4)], "k int, row int, col int, v int")
+    half = mosaic.reproject_nearest(source, source.select("k").distinct(), ["k"], (0.0, 4.0, 1.0, 1.0), (0.0, 4.0, 2.0, 2.0), (2, 3))
+    assert {(r.row, r.col): r.v for r in half.collect()} == {(0, 0): 11, (0, 1): 13, (0, 2): None, (1, 0): 31, (1, 1): 33, (1, 2): None}
+    long = spark.createDataFrame([(1, "nir", 5), (1, "sat", 2), (2, "nir", 6)], "p int, band string, v int")
+    assert mosaic.attach_saturation(long.where("p = 1"), ["p"], "sat").collect()[0][:] == (1, "nir", 5, 2)
+    with pytest.raises(Exception):  # noqa: B017
+        mosaic.attach_saturation(long, ["p"], "sat").collect()
+    (tmp_path / "a.asc").write_text("ncols 3\nnrows 2\nxllcorner 100\nyllcorner 50\ncellsize 10\nNODATA_value -9\n1 2 -9\n4 5.5 6\n")
+    (tmp_path / "b.asc").write_text("ncols 3\nnrows 2\nxllcorner 0\nyllcorner 0\ncellsize 1\n1 2\n")
+    files = gridfile.open_grids(spark, str(tmp_path)).withColumn("path", F.substring_index("path", "/", -1))
+    assert gridfile.profile(files).where("path = 'a.asc'").collect()[0][1:] == (3, 2, 100.0, 70.0, 10.0, -9.0)
+    assert {r.path: r.whole for r in gridfile.integrity(files).collect()} == {"a.asc": True, "b.asc": False}
+    assert sorted((r.row, r.col, r.v) for r in gridfile.read_pixels(files.where("path = 'a.asc'")).collect() if r.v is not None) == [(0, 0, 1.0), (0, 1, 2.0), (1, 0, 4.0), (1, 1, 5.5), (1, 2, 6.0)]
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "p"))
+    (tmp_path / "p" / "broken.parquet").write_bytes(b"PAR1 cut off here")
+    held = publish.readable(spark.read.format("binaryFile").load(str(tmp_path / "p" / "*.parquet"))).collect()
+    assert sorted(r.readable for r in held) == [False, True]
+
+
+def test_extent_of_projected_bounds(spark):
+    x, y = grid.albers(F.lit(-50.0), F.lit(-10.0), -54)
+    at = spark.range(1).select(x.alias("xmin"), y.alias("ymin")).select("*", F.col("xmin").alias("xmax"), F.col("ymin").alias("ymax"))
+    got = grid.raster_extent(at, "aea", -54).first()
+    assert abs(got.west + 50) < 1e-6 and abs(got.north + 10) < 1e-6
+    centre, box = grid.projected(spark, "sinu", -54, (-60.0, -20.0, -50.0, 0.0))
+    assert abs(centre[0]) < 1e-6 and box[0] < 0 < box[2] and box[1] < centre[1] < box[3]
+
