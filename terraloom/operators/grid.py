@@ -191,3 +191,13 @@ def convex_hull(points: DataFrame, keys: list[str], x: str = "col", y: str = "ro
         return head
 
     return ends.groupBy(*keys).applyInPandas(hull, schema)
+
+
+def footprints(valid: DataFrame, keys: list[str], x: str = "col", y: str = "row") -> DataFrame:
+    """``convex_hull`` of the valid pixels for the keys whose hull has an area."""
+    area = F.aggregate(
+        F.sequence(F.lit(0), F.size("hull") - 1), F.lit(0.0),
+        lambda s, k: s + F.get(F.get("hull", k), F.lit(0)) * F.get(F.get("hull", (k + 1) % F.size("hull")), F.lit(1)) - F.get(F.get("hull", (k + 1) % F.size("hull")), F.lit(0)) * F.get(F.get("hull", k), F.lit(1)),
+    )
+    return convex_hull(valid, keys, x, y).where((F.size("hull") > 2) & (F.abs(area) > 0))
+

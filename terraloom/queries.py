@@ -382,7 +382,16 @@ def project_sinusoidal(spark, d):
     return table(spark, d, "customer").select("c_custkey", F.round(x, 2).alias("x"), F.round(y, 2).alias("y"))
 
 
-@query()
+#: The projection from its definition: m and q at the two standard parallels and at the origin.
+_Q = "((1 - e2) * (sin({b}) / (1 - e2 * sin({b}) ** 2) - ln((1 - sqrt(e2) * sin({b})) / (1 + sqrt(e2) * sin({b}))) / (2 * sqrt(e2))))"
+_M2 = "(cos({b}) ** 2 / (1 - e2 * sin({b}) ** 2))"
+
+
+@query(f"""WITH k AS (SELECT 2 / 298.257222101::DOUBLE - 1 / 298.257222101::DOUBLE ** 2 AS e2, radians(-2) AS b1, radians(-22) AS b2, radians(-12) AS b0, 6378137.0::DOUBLE AS a),
+c AS (SELECT *, ({_M2.format(b="b1")} - {_M2.format(b="b2")}) / ({_Q.format(b="b2")} - {_Q.format(b="b1")}) AS n FROM k), g AS (SELECT *, {_M2.format(b="b1")} + n * {_Q.format(b="b1")} AS cc FROM c),
+p AS (SELECT c_custkey, -70 + c_custkey % 300 / 10.0::DOUBLE AS lon, radians(-30 + c_custkey % 370 / 10.0::DOUBLE) AS lat FROM customer),
+r AS (SELECT c_custkey, n * radians(lon + 54) AS theta, a * sqrt(cc - n * {_Q.format(b="lat")}) / n AS rho, a * sqrt(cc - n * {_Q.format(b="b0")}) / n AS rho0 FROM p, g)
+SELECT c_custkey, round(5000000 + rho * sin(theta), 2) AS x, round(10000000 + rho0 - rho * cos(theta), 2) AS y FROM r""")
 def project_albers(spark, d):
     lon, lat = F.lit(-70) + F.col("c_custkey") % 300 / 10.0, F.lit(-30) + F.col("c_custkey") % 370 / 10.0
     x, y = grid.albers(lon, lat, -54)

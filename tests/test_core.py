@@ -1,14 +1,17 @@
 """Golden vectors and properties of the data-cube operators."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from terraloom.__main__ import main
 from terraloom.functions import expressions, identifiers, masks
 from terraloom.operators import catalog, composite, grid, mosaic, timeline
 from terraloom.plans import cube as plans
+from terraloom.plans import document
 from terraloom.sources import directory, gridfile, publish
 from terraloom.streaming import recompose
 
@@ -147,6 +150,8 @@ def test_grid_and_hull(spark):
     assert g[0].origin == (-30.0, 70.0) and g[1].size == (10.0, 10.0)
     df = spark.createDataFrame([(1, r, c) for r in range(4) for c in range(5)], "k int, row int, col int")
     assert grid.convex_hull(df, ["k"]).first().hull == [[0.0, 0.0], [4.0, 0.0], [4.0, 3.0], [0.0, 3.0]]
+    line = df.where("row = 1").withColumn("k", F.lit(2)).union(df)
+    assert [r.k for r in grid.footprints(line.select("k", "row", "col"), ["k"]).collect()] == [1]
 
 
 def test_names(spark):
@@ -285,3 +290,20 @@ def test_extent_of_projected_bounds(spark):
     centre, box = grid.projected(spark, "sinu", -54, (-60.0, -20.0, -50.0, 0.0))
     assert abs(centre[0]) < 1e-6 and box[0] < 0 < box[2] and box[1] < centre[1] < box[3]
 
+
+def test_stored_definition_is_built(spark, tmp_path):
+    doc = {
+        "datacube": "demo", "grs": "g", "composite_function": "LCF", "quality_band": "q", "version": 2,
+        "temporal_composition": {"schema": "Cyclic", "unit": "day", "step": 16, "cycle": {"unit": "year", "step": 1}},
+        "bands": [{"name": "nir", "common_name": "nir", "data_type": "int16", "nodata": -9999}, {"name": "red", "common_name": "red"}, {"name": "q", "common_name": "quality", "data_type": "uint8", "nodata": 255}],
+        "indexes": [{"name": "X", "common_name": "x", "metadata": {"expression": {"bands": ["nir", "red"], "value": "nir - red"}}}],
+        "parameters": {"mask": {"clear_data": [0], "not_clear_data": [1], "nodata": 255}},
+    }
+    (tmp_path / "cube.json").write_text(json.dumps(doc))
+    rows = [("t", D(2020, 1, d), 0, 0, d, 0, q, n, 5) for d, q, n in ((3, 1, 10), (9, 0, 20), (20, 0, 30))]
+    spark.createDataFrame(rows, "tile string, date date, row int, col int, asset_seq int, source int, q int, nir int, red int").write.parquet(str(tmp_path / "in"))
+    main(["build", "--cube", str(tmp_path / "cube.json"), "--assets", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--start", "2020-01-01", "--end", "2020-02-01"])
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("period_start").collect()
+    assert [(r.period_start, r.nir, r.X, r.provenance) for r in got] == [(D(2020, 1, 1), 20, 15, 9), (D(2020, 1, 17), 30, 25, 20)]
+    assert document.parse_cube(doc, {"mask": None, "mask_": 1} | {"mask": doc["parameters"]["mask"]}).version == 2
+
