@@ -169,13 +169,17 @@ def build(assets: DataFrame, periods: DataFrame, cube: Cube, repair: int | None
     clear, not_clear = clear_and_not(F.col(q), mask, oli)
     stats = timeline.in_period(composite.scene_stats(one, ["tile", "date"], clear, not_clear), periods)
     if cube.parameters.get("histogram_matching"):
-        one = composite.match_to_best(timeline.in_period(one, periods), stats, scene, ["row", "col"], spectral).drop("period_start", "period_end")
-    day = cube.parameters.get("reference_day")
-    if day:
-        ranked = timeline.temporal_priority(stats, day, "date", ("tile", "period_start")).withColumnRenamed("priority", "rank")
+        one = composite.match_to_best(timeline.in_period(one, periods), stats, scene, ["row", "col"], spectral)
+    if cube.function == "MED":
+        rows = one if "period_start" in one.columns else timeline.in_period(one, periods)
     else:
-        ranked = composite.rank_scenes(stats, scene)
-    rows = one.join(ranked.select("tile", "date", "period_start", "rank"), ["tile", "date"])
+        day = cube.parameters.get("reference_day")
+        if day:
+            ranked = timeline.temporal_priority(stats, day, "date", ("tile", "period_start")).withColumnRenamed("priority", "rank")
+        else:
+            ranked = composite.rank_scenes(stats, scene)
+        on = [c for c in ("tile", "date", "period_start") if c in one.columns]
+        rows = one.join(ranked.select("tile", "date", "period_start", "rank"), on)
     radsat = F.col(mask.saturated_band) if mask.saturated_band else None
     bands = [q, *spectral]
     able = {b: usable(F.col(q), F.col(b), mask, radsat if b not in (q, mask.saturated_band) else None, oli) for b in bands}
