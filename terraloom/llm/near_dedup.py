@@ -39,6 +39,8 @@ BROADCAST_ROWS = 500_000
 #: Bytes of a stored shingle; members of one pivot that are compared in one task; step of the length classes.
 GRAM_BYTES, SLICE, LENGTH_STEP = 6, 512, 0.02
 EPS = 1e-6
+#: Words whose hashes a worker keeps; more cost memory and save no time.
+KNOWN_WORDS = 100_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,7 +135,7 @@ def _flush(texts: list[tuple[int, np.ndarray]], keys: list, plain: list, bands:
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, id, mark, text) to (row, id, mark, key, plain, bands, grams): grams are the packed shingles, plain if none repeats."""
-    cache = Cache(word_hash)
+    cache = Cache(word_hash, KNOWN_WORDS)
     for b in (part for whole in batches for part in sliced(whole, "text")):
         texts = b.column("text").to_pylist()
         keys, plain, bands, grams, open_, size = [None] * len(texts), [None] * len(texts), [None] * len(texts), [None] * len(texts), [], 0
