@@ -16,7 +16,7 @@ from .common import let
 
 THRESHOLD = 0.8
 
-#: Notices as they stand in files: short statements and the opening paragraphs of the full texts.
+#: Notices as they stand in files, short statements and the opening paragraphs of the full texts.
 TEMPLATES = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -92,7 +92,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Units are the lines of the text and its paragraphs of several lines (split at blank lines). A unit matches a
     template if the Dice coefficient of their distinct word bigrams is at least ``threshold``. Null, empty and
-    one-word texts have no bigrams and match nothing. Repeated rows of an id add up; ties for ``unit`` go to the least
+    one-word texts have no bigrams and match nothing; an empty table gives an empty result; texts of any length are scanned
+    whole. Repeated rows of an id add up; ties for ``unit`` go to the least
     text. Other columns of ``docs`` are not read. The template list is configuration and does not grow with the data.
     """
     sizes = [(*x, *size_bounds(x[3], threshold)) for x in template_sizes(templates or TEMPLATES)]
