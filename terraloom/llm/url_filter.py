@@ -13,7 +13,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let
+from .common import Scratch, ascii_lower, let
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.8
 BAD = "!bad"
@@ -97,9 +97,13 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     rank = F.split(F.lit(" ".join(sorted(rest, key=lambda t: (freq[t], t)))), " ")
     found = both.where(F.col("hits") / F.col("freq") >= min_confidence)
     found = found.select("tokens", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.lit(n)).alias("support"), F.array_intersect(rank, F.col("tokens"))[0].alias("anchor"))
+    store = Scratch(spark)
+    found = store.save(found)  # mined once
     lesser = found.select(F.col("tokens").alias("__in"), F.col("anchor").alias("__at"))
     larger = found.select("tokens", F.explode("tokens").alias("__at")).join(lesser, "__at").where((F.size("__in") < F.size("tokens")) & (F.size(F.array_except("__in", "tokens")) == 0))
-    return ones.union(found.join(larger.select("tokens").distinct(), "tokens", "left_anti"))
+    out = store.save(ones.union(found.join(larger.select("tokens").distinct(), "tokens", "left_anti")))
+    store.drop(found)
+    return out
 
 
 def _by_bucket(mined: DataFrame, n: int) -> Column:
