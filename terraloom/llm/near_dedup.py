@@ -259,8 +259,9 @@ def _across(store: Scratch, weighted: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of different classes whose bounds reach the threshold. ``weighted`` has (node, root, gram, part, size,
     plain, n), n being the number of texts that hold the shingle."""
     ahead = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = weighted.withColumn("suffix", F.sum("part").over(ahead)).withColumn("k", F.count("*").over(ahead))
-    rows = store.save(rows.where(F.col("suffix") >= threshold - EPS).select("gram", "node", "root", "suffix", "k", "size", "plain"))
+    rarer = F.lead("gram").over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("gram")))
+    rows = weighted.withColumn("suffix", F.sum("part").over(ahead)).withColumn("k", F.count("*").over(ahead)).withColumn("rarer", rarer)
+    rows = store.save(rows.where(F.col("suffix") >= threshold - EPS).select("gram", "node", "root", "suffix", "k", "size", "plain", "rarer"))
     grams = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gram")
     held = store.save(rows.join(grams.hint("merge"), "gram"))
     store.drop(rows)
@@ -268,12 +269,14 @@ def _across(store: Scratch, weighted: DataFrame, threshold: float) -> DataFrame:
     counts = probing.select("gram", "list", "root").union(stored.select("gram", "list", "root")).groupBy("gram", "list", "root").agg(F.count("*").alias("c"))
     lists = counts.groupBy("gram", "list").agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
     lists = store.save(lists.select("gram", "list", "most"))
-    named = lambda rows, s: rows.select("gram", "list", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "root", "suffix", "k", "size", "plain", "most")])
+    named = lambda rows, s: rows.select("gram", "list", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "root", "suffix", "k", "size", "plain", "rarer", "most")])
     x, y = (named(rows.join(lists.hint("merge"), ["gram", "list"]), s) for rows, s in ((probing, "x"), (stored, "y")))
     k = F.least("x_k", "y_k")
     plain = k / (F.col("x_size") + F.col("y_size") - k)
     other = 1 / (1 / F.col("x_suffix") + 1 / F.col("y_suffix") - 1)
     able = (F.col("x_root") != F.col("y_root")) & (F.when(F.col("x_plain") & F.col("y_plain"), plain).otherwise(other) >= threshold - EPS)
+    # Texts that share the next rarer shingle too have met there, where their bounds are no less.
+    able = able & F.coalesce(F.col("x_rarer") != F.col("y_rarer"), F.lit(True))
     # A list's largest class is never compared with itself.
     sides = ((x.where("x_root <> x_most"), y), (x.where("x_root = x_most"), y.where("y_root <> y_most")))
     first, second = (one.join(two.hint("merge"), ["gram", "list"]).where(able).select("x_node", "y_node") for one, two in sides)
