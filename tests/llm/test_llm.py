@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 from collections import Counter
 from itertools import combinations
@@ -16,6 +17,7 @@ from tokenizers import Tokenizer
 
 from oracle import differ
 from terraloom.llm import bpe, decontaminate, license_scan, line_dedup, near_dedup, quality_rules, queries, sharding, token_counts, toxicity, url_filter
+from terraloom.llm.common import Scratch
 from terraloom.llm.words import Cache, fold, word_hash
 
 SF = "/root/testdata/sf0.001"
@@ -167,6 +169,26 @@ def test_near_dedup_judges_rows_of_one_id_by_their_text(spark):
     assert got == [(3, 3), (5, 3), (5, 5), (8, 5)]
 
 
+def test_near_dedup_writes_shingles_of_candidates_only(spark, monkeypatch):
+    written = []
+
+    class Watched(Scratch):
+        def save(self, df):
+            out = super().save(df)
+            path = out._terraloom_path.removeprefix("file://")
+            written.append(sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet")))
+            return out
+
+    monkeypatch.setattr(near_dedup, "Scratch", Watched)
+    texts = [" ".join(f"{k}x{j}" for j in range(20_000)) for k in range(10)]
+    a = " ".join(f"a{j}" for j in range(60))
+    # A text of a candidate stands twice under one id.
+    rows = [*enumerate(texts, 10), (1, a), (1, a), (2, a + " more"), (3, a + " more words")]
+    got = sorted(tuple(r) for r in near_dedup.classes(frame(spark, rows)).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), *((k, k) for k in range(10, 20))]
+    assert sum(written) < 0.2 * sum(map(len, texts))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 12), min_size=1, max_size=25), st.lists(st.integers(0, 12), min_size=1, max_size=25))
 def test_probability_jaccard(a, b):
