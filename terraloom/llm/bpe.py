@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -147,7 +148,22 @@ class Bpe:
 @lru_cache(4)
 def _loaded(path: str) -> tuple[Bpe, Cache]:
     bpe = Bpe(path)
-    return bpe, Cache(bpe.encode_word)
+    return bpe, packed_words(bpe)
+
+
+def packed_words(bpe: Bpe) -> Cache:
+    """Words' ids in 32 bits each: a tuple of numbers would take several times the memory, and a worker keeps it between tasks."""
+    return Cache(lambda word: array("i", bpe.encode_word(word)).tobytes())
+
+
+def packed_text(bpe: Bpe, cache: Cache, text: str) -> bytes:
+    """The ids of ``encode_text`` in 32 bits each; ``cache`` is one of ``packed_words``."""
+    out: list[bytes] = []
+    for words, special in bpe.pieces(text):
+        out.extend(map(cache.__getitem__, words))
+        if special is not None:
+            out.append(array("i", (special,)).tobytes())
+    return b"".join(out)
 
 
 def encode_text(bpe: Bpe, cache: Cache, text: str) -> list[int]:
@@ -177,10 +193,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decoded: bool = F
         bpe, cache = _loaded(path)
         for whole in batches:
             for b in sliced(whole, text_col):
-                got = [encode_text(bpe, cache, t or "") for t in b.column(text_col).to_pylist()]
-                ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(got), np.int32, int(ends[-1]))))
-                more = [pa.array([bpe.decode(g) for g in got], pa.string())] if decoded else []
+                got = [packed_text(bpe, cache, t or "") for t in b.column(text_col).to_pylist()]
+                ends = (np.cumsum([0, *map(len, got)]) // 4).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.int32)))
+                more = [pa.array([bpe.decode(memoryview(g).cast("i")) for g in got], pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays([*b.columns, ids, *more], names=schema.names)
 
     out = out.mapInArrow(run, schema)

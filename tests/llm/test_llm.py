@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import random
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -271,6 +272,25 @@ def test_forced_cuts_change_nothing(libraries):
     assert list(own.encode_word(word)) == own.fragment(word.encode(), True)
 
 
+def test_ids_of_words_are_kept_small(libraries):
+    words, own, _, _ = libraries
+    end = next(iter(own.added))
+    texts = ["", " ", "one two", f"one{end} two {end}{end}", "\u0378 odd", "ß" * 300]
+    cache = bpe.packed_words(own)
+    assert [np.frombuffer(bpe.packed_text(own, cache, t), np.int32).tolist() for t in texts] == [words.encode(t, add_special_tokens=False).ids for t in texts]
+    rng = random.Random(3)
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(20_000)]
+    tracemalloc.start()
+    kept = bpe._loaded.__wrapped__(WORDS)[1]
+    before = tracemalloc.get_traced_memory()[0]
+    for name in names:
+        kept[name]
+    size = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    # The table's slots and an object for each word's ids; the words themselves stand in names.
+    assert size < 150 * len(names)
+
+
 def test_round_trip_and_budgets(spark):
     df = frame(spark, [(1, "Hello wörld, it's 12"), (2, None)])
     got = {r.doc_id: r for r in bpe.decode(bpe.encode(df, WORDS), WORDS).collect()}
