@@ -210,9 +210,10 @@ def merged_assets(current: DataFrame, news: DataFrame, keys: list[str], version:
 
 def normalized_scenes(items: DataFrame, bands: DataFrame) -> DataFrame:
     """Search results (scene, dataset, datetime, assets) as (scene, dataset, date, band, link): the date is the timestamp text's
-    first ten characters; only the assets that ``bands`` (asset, band) names."""
+    first ten characters; only the assets that ``bands`` (asset, band) names. The bands are a platform's list and go whole to every
+    task: joined by a shuffle, all links of one asset would meet in one task."""
     rows = items.select("scene", "dataset", F.substring("datetime", 1, 10).cast("date").alias("date"), F.explode("assets").alias("asset", "link"))
-    return rows.join(bands, "asset").select("scene", "dataset", "date", "band", "link")
+    return rows.join(F.broadcast(bands), "asset").select("scene", "dataset", "date", "band", "link")
 
 
 def legacy_box(geometry_box: tuple, intersects: bool) -> dict:

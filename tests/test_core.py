@@ -233,6 +233,21 @@ def test_catalogue(spark):
     assert near.collect()[0][:] == (0, 7)
 
 
+def test_links_of_an_asset_stay_in_their_partitions(spark):
+    rows = [(k, "S", f"2020-01-{k % 28 + 1:02}T10:00:00", {"B4": f"r{k}", "B8": f"n{k}", "meta": "m"}) for k in range(400)] + [(400, "S", None, {"B8": "n400"}), (401, "S", "2020-01-01", None), (402, "S", "2020-01-01", {})]
+    items = spark.createDataFrame(rows, "scene int, dataset string, datetime string, assets map<string,string>").repartition(4)
+    bands = spark.createDataFrame([("B4", "red"), ("B4", "r"), ("B8", "nir"), ("B9", "cirrus"), (None, "none")], "asset string, band string")
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")  # the default: at few partitions Spark undoes the shuffle by itself
+    try:
+        got = catalog.normalized_scenes(items, bands).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+    want = {(k, "S", D(2020, 1, k % 28 + 1), b, f"{b[0]}{k}") for k in range(400) for b in ("red", "r", "nir")} | {(400, "S", None, "nir", "n400")}
+    assert {r[:5] for r in got} == want and len(got) == len(want)
+    assert all(len({r.p for r in got if r.band == b}) == 4 for b in ("red", "r", "nir"))
+
+
 def test_definitions_are_created_and_changed(spark):
     bands = (plans.Band("nir", "nir"), plans.Band("q", "quality"))
     c = plans.Cube("c", 1, "g", "LCF", timeline.Schema("continuous", "month"), bands, (), "q", {"mask": {"clear_data": [0], "nodata": 255}, "a": 1})
